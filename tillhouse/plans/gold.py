@@ -180,10 +180,10 @@ def fact_sales_from_lines(lines: DataFrame, employees: DataFrame) -> DataFrame:
     )
 
 
-def gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All star tables over the normalized ones as lazy frames, audit columns included."""
+def dimensions(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The six dimensions over the normalized tables, without audit columns."""
     places = flat_geography(silver["city"], silver["state"], silver["region"], silver["country"])
-    dims = {
+    return {
         "customer": dim_customer(silver["customer"], places),
         "employee": dim_employee(silver["employee_history"]),
         "store": dim_store(silver["store"], places),
@@ -191,8 +191,12 @@ def gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "payment_method": dim_payment_method(silver["payment_methods"]),
         "date": dim_date(silver["orders"]),
     }
-    fact = fact_sales(silver["orders_items"], silver["orders"], silver["payment"], dims)
-    tables = {f"dim_{name}": df for name, df in dims.items()}
-    timeless = ("dim_employee", "dim_date")
-    tables = {name: df if name in timeless else with_audit(df) for name, df in tables.items()}
-    return {**tables, "fact_sales": with_audit(fact)}
+
+def fact(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+    """The fact over the normalized tables and the dimensions."""
+    return fact_sales(silver["orders_items"], silver["orders"], silver["payment"], dims)
+
+
+def audited(name: str, dim: DataFrame) -> DataFrame:
+    """Audit columns for the dimensions that carry them."""
+    return dim if name in ("employee", "date") else with_audit(dim)
