@@ -1,0 +1,172 @@
+"""Golden counts, star invariants, skew plans, and the pipeline end to end."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from tillhouse.operators.cdc import current
+from tillhouse.plans import gold, silver
+from tillhouse.plans.lines import sales_lines
+from tillhouse.plans.rules import LEAF, PATH, Rules
+from tillhouse.plans.warehouse import Warehouse
+from tillhouse.registry.queries import QUERIES, _landing
+from tillhouse.sources import fixture
+from tillhouse.sources.channels import OFFLINE_CSV, ONLINE_CSV
+
+GOLDEN = {
+    PATH: dict(
+        categories=6, sub_categories=106, products=199, country=5, region=20, state=25, city=69, store=10,
+        customer=149, payment_methods=15, orders=1473, orders_items=6000, payment=6000, employee_history=10,
+    ),
+    LEAF: dict(
+        categories=6, sub_categories=106, products=838, country=5, region=24, state=150, city=414, store=60,
+        customer=894, payment_methods=15, orders=8838, orders_items=36000, payment=36000, employee_history=10,
+    ),
+}
+FACT = {PATH: (6000, Decimal("317364757.3100")), LEAF: (216000, Decimal("11425131263.1600"))}
+
+
+def _channels(spark, sf_dir):
+    return fixture.online(spark, sf_dir), fixture.offline(spark, sf_dir)
+
+
+@pytest.mark.parametrize("rules", [PATH, LEAF], ids=["path", "leaf"])
+def test_golden_counts(spark, sf_dir, rules):
+    tables = silver.silver(sales_lines(*_channels(spark, sf_dir), rules), rules)
+    assert {name: df.count() for name, df in tables.items()} == GOLDEN[rules]
+    orphans = tables["region"].filter("country_id is null").count()
+    assert orphans == (0 if rules is PATH else 4)
+    dims = gold.dimensions(tables)
+    total = gold.fact(tables, dims).agg(F.count("*"), F.sum("sales"), F.count("product_sk"), F.count("order_date_sk"))
+    n, sales, products, dates = total.first()
+    assert (n, sales) == FACT[rules] and products == dates == n
+
+
+def test_unknown_rules_are_refused():
+    with pytest.raises(ValueError, match="unknown lookup"):
+        Rules("guess")
+
+
+def test_star_invariants(spark, lines):
+    tables = silver.silver(lines)
+    dims = gold.dimensions(tables)
+    for name, df in dims.items():
+        key = df.columns[0]
+        assert df.count() == df.select(key).distinct().count(), name
+    fact = gold.fact(tables, dims).cache()
+    for name, key in [("customer", "customer_sk"), ("store", "store_sk"), ("product", "product_sk"), ("employee", "employee_sk")]:
+        assert fact.filter(F.col(key).isNotNull()).join(dims[name].select(key), key, "left_anti").count() == 0
+    wrong = fact.filter(
+        "(source_system = 'online' and (store_sk is not null or employee_sk is not null or customer_sk is null)) or "
+        "(source_system = 'offline' and (customer_sk is not null or store_sk is null or employee_sk is null))"
+    )
+    assert wrong.count() == 0
+    assert fact.filter("payment_method_sk is null or payment_amount is null or sale_sk is null").count() == 0
+    history = dims["employee"]
+    open_ones = current(history).groupBy("employee_src_id").count()
+    assert open_ones.filter("count <> 1").count() == 0
+    assert open_ones.count() == history.select("employee_src_id").distinct().count()
+    joined = gold.fact_sales_from_lines(lines, dims["employee"])
+    assert rows(joined) == rows(fact)
+    fact.unpersist()
+
+
+def test_tables_do_not_depend_on_row_order_or_partitioning(spark, sf_dir):
+    online, offline = _channels(spark, sf_dir)
+    one = silver.silver(sales_lines(online, offline))
+    other = silver.silver(sales_lines(online.repartition(5).orderBy(F.rand(1)), offline.repartition(3, "payment_id")))
+    for name, df in one.items():
+        kept = [c for c in df.columns if c not in ("insert_dt", "update_dt")] if name != "employee_history" else df.columns
+        assert rows(df.select(*kept)) == rows(other[name].select(*kept)), name
+
+
+def test_awkward_lines(spark, sf_dir):
+    """NULL product, NULL order number, padded state, and UK regions."""
+    online, offline = _channels(spark, sf_dir)
+    odd = online.withColumns(
+        {
+            "Product_Name": F.when(F.col("payment_id") % 5 == 0, None).otherwise(F.col("Product_Name")),
+            "Order_ID": F.when(F.col("payment_id") % 7 == 0, None).otherwise(F.col("Order_ID")),
+            "State": F.concat("State", F.lit("  ")),
+        }
+    )
+    lines = sales_lines(odd, offline)
+    tables = silver.silver(lines)
+    fact = gold.fact_sales_from_lines(lines, gold.dim_employee(tables["employee_history"]))
+    assert fact.count() == 6000
+    n_null = online.filter("payment_id % 5 = 0").count()
+    assert fact.filter("product_sk is null").count() == n_null
+    assert fact.filter("sale_sk is null and product_sk is not null and order_id is not null").count() == 0
+    assert fact.filter("order_id is null and (customer_sk is not null or payment_amount is not null)").count() == 0
+    assert rows(fact) == rows(gold.fact(tables, gold.dimensions(tables)))
+    assert tables["region"].filter("country_id is null").count() == 0
+    assert tables["state"].count() == 25
+
+
+def test_an_order_with_a_third_of_all_lines_is_split(spark, sf_dir):
+    """Joining by the order hash lets the run-time skew rule split the hot order."""
+    online, offline = _channels(spark, sf_dir)
+    hot = online.withColumn("Order_ID", F.when(F.col("payment_id") % 3 > 0, F.lit(4242)).otherwise(F.col("Order_ID")))
+    lines = sales_lines(hot, offline)
+    employees = gold.dim_employee(silver.employee_history(silver.employee_versions(silver.employee_changes(lines))))
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = gold.fact_sales_from_lines(lines, employees)
+        assert len(fact.collect()) == 6000
+        assert "skew=true" in plan(fact)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_plans_prune_push_and_never_cross(spark, sf_dir):
+    text = plan(QUERIES["silver_categories"](spark, sf_dir))
+    assert "l_extendedprice" not in text and "PushedFilters: [IsNotNull(l_orderkey)" in text
+    assert text.count("Exchange hashpartitioning") == 1
+    for name in ("silver_orders_items", "silver_payment", "silver_products", "dim_employee"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+    # items and payments are computed from the line alone: nothing is shuffled beyond the test tables' own joins
+    assert "Exchange hashpartitioning" not in plan(QUERIES["silver_orders_items"](spark, sf_dir))
+
+
+def test_pipeline_end_to_end_in_two_refreshes(spark, sf_dir, tmp_path):
+    """Half of the files, then the rest: the same star as the batch plans, and nothing new on a third run."""
+    online, offline = _channels(spark, sf_dir)
+    landing = str(tmp_path / "landing")
+    for step in (0, 1):
+        for df, schema, name in ((online, ONLINE_CSV, "online"), (offline, OFFLINE_CSV, "offline")):
+            part = df.filter(F.pmod(F.xxhash64("payment_id"), F.lit(2)) == step)
+            frame = spark.read.schema(schema).option("header", True).csv(_landing(part, schema, f"{name}-{step}", 2))
+            frame.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).mode("append").csv(
+                f"{landing}/{name}"
+            )
+        house = Warehouse(spark, f"{landing}/online", f"{landing}/offline", str(tmp_path / "house"))
+        star = house.refresh()
+    assert star["fact_sales"].count() == 6000
+    assert star["fact_sales"].agg(F.sum("sales")).first()[0] == FACT[PATH][1]
+    lines = sales_lines(online, offline)
+    tables = silver.silver(lines)
+    dims = gold.dimensions(tables)
+    audit = ("insert_dt", "update_dt")
+    want = {f"dim_{name}": df for name, df in dims.items()} | {"fact_sales": gold.fact(tables, dims)}
+    for name, df in want.items():
+        kept = [c for c in df.columns if c not in audit]
+        assert rows(star[name].select(*kept)) == rows(df.select(*kept)), name
+    star = house.refresh()
+    assert star["fact_sales"].count() == 6000 and star["dim_date"].count() == 2405
+    assert {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gold.fact_sales").collect()}["layer"] == "gold_star"

@@ -35,9 +35,9 @@ def align(df: DataFrame, columns: dict[str, tuple[str | None, str]]) -> DataFram
 
     Casts are safe: a value that does not fit becomes NULL. No source column gives a typed NULL.
     """
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.lit(None).cast(type_) if source is None else F.col(source).try_cast(type_)).alias(name)
+            f"CAST(NULL AS {type_}) AS `{name}`" if source is None else f"try_cast(`{source}` AS {type_}) AS `{name}`"
             for name, (source, type_) in columns.items()
         ]
     )

@@ -282,8 +282,8 @@ ORACLE: dict[str, str] = {
  count(*) filter (l_returnflag <> 'R') as n_quantities, count(*) filter (l_returnflag = 'R') as n_rescued
  from lineitem group by l_returnflag""",
     "csv_rescue_quarantine": """select o_orderkey, o_orderstatus, o_orderpriority,
- case when o_orderstatus = 'P' then o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',late' end
- as _rescued_data, case when o_orderstatus = 'P' then 'quarantine' else 'good' end as kind from orders""",
+ case when o_orderstatus = 'P' then '{"line":"' || o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority
+ || ',late","empty":[]}' end as _rescued_data, case when o_orderstatus = 'P' then 'quarantine' else 'good' end as kind from orders""",
     "csv_infer_schema": " union all ".join(
         f"select '{name}' as name, '{type_}' as type, count({name}) as n from customer"
         for name, type_ in [

@@ -106,7 +106,8 @@ def _places(lines: DataFrame) -> dict[str, DataFrame]:
 
 
 def _flat_places(lines: DataFrame) -> DataFrame:
-    return gold.flat_geography(*[_places(lines)[n] for n in ("city", "state", "region", "country")])
+    places = _places(lines)
+    return gold.flat_geography(*[places[name] for name in ("city", "state", "region", "country")])
 
 
 def _goods(lines: DataFrame) -> dict[str, DataFrame]:
@@ -186,7 +187,7 @@ def csv_rescue_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inferred types per column, with the values read under them."""
     path = write_csv(fixture.table(spark, sf_dir, "customer"), scratch(spark, "infer"))
-    schema = infer_schema(spark, path)
+    schema = infer_schema(spark, path, sampling_ratio=1.0)
     rows = read_csv(spark, path, schema).drop(RESCUED)
     counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
     described = [
@@ -638,13 +639,14 @@ def _stored_star(lines: DataFrame) -> tuple[dict[str, DataFrame], dict[str, Data
 @query
 def fact_sales_star_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact by joining stored tables, which is how gold is built from silver."""
-    return _text_keys(gold.fact(*_stored_star(_lines(spark, sf_dir))), *_FACT_KEYS)
+    lines = stored(_lines(spark, sf_dir), "lines")
+    return _text_keys(gold.fact(*_stored_star(lines)), *_FACT_KEYS)
 
 
 @query
 def sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: sales by year, country and category over the star."""
-    lines = _lines(spark, sf_dir)
+    lines = stored(_lines(spark, sf_dir), "lines")
     goods, places = _goods(lines), _flat_places(lines)
     dims = {
         "customer": gold.dim_customer(silver.customer(lines), places),

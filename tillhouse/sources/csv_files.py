@@ -14,20 +14,32 @@ RESCUED = "_rescued_data"
 DIALECT = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
+_RAW_LINE = "_unfitting_line"
+
+
 def _options(extra: dict[str, str] | None = None) -> dict[str, str]:
-    return {**DIALECT, "columnNameOfCorruptRecord": RESCUED, **(extra or {})}
+    return {**DIALECT, "columnNameOfCorruptRecord": _RAW_LINE, **(extra or {})}
+
 
+def _with_raw_line(schema: StructType) -> StructType:
+    return StructType(list(schema.fields)).add(_RAW_LINE, StringType())
 
-def rescuing(schema: StructType) -> StructType:
-    """The declared columns plus one that keeps the raw line whenever it does not fit them."""
-    if RESCUED in schema.names:
-        return schema
-    return StructType(list(schema.fields)).add(RESCUED, StringType())
+
+def _rescue(df: DataFrame) -> DataFrame:
+    """``_rescued_data``: NULL on lines that fit, else JSON of the raw line and the columns that came out NULL.
+
+    Spark converts, and therefore judges, only columns a query reads. Naming every column here makes the verdict on
+    a line the same whatever else is selected.
+    """
+    names = [c for c in df.columns if c != _RAW_LINE]
+    empty = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in names]))
+    verdict = F.to_json(F.struct(F.col(_RAW_LINE).alias("line"), empty.alias("empty")))
+    return df.withColumn(RESCUED, F.when(F.col(_RAW_LINE).isNotNull(), verdict)).drop(_RAW_LINE)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
     """Batch read. A bad field becomes NULL and its line is kept in ``_rescued_data``; no row is dropped."""
-    return spark.read.options(**_options(options)).schema(rescuing(schema)).csv(path)
+    return _rescue(spark.read.options(**_options(options)).schema(_with_raw_line(schema)).csv(path))
 
 
 def read_csv_stream(
@@ -36,11 +48,15 @@ def read_csv_stream(
     """The same as a stream of new files, at most ``max_files`` per micro-batch."""
     if max_files is not None:
         options["maxFilesPerTrigger"] = str(max_files)
-    return spark.readStream.options(**_options(options)).schema(rescuing(schema)).csv(path)
+    return _rescue(spark.readStream.options(**_options(options)).schema(_with_raw_line(schema)).csv(path))
+
 
+def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> StructType:
+    """Column types guessed from a share of the lines, to be declared on the stream.
 
-def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
-    """Column types guessed from the files, to be declared on the stream. Naive timestamps stay zone-free."""
+    A line outside the share that contradicts the guess is not lost: it is rescued when read. Give a few files
+    rather than the whole folder when the folder is large.
+    """
     guess = spark.read.options(**_options()).option("inferSchema", "true").option("samplingRatio", sampling_ratio)
     return guess.csv(path).schema
 
@@ -56,7 +72,7 @@ def bronze(df: DataFrame) -> DataFrame:
 
 
 def split_rescued(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the declared schema, and the rest with their raw lines."""
+    """Rows that fit the declared schema, and the rest with what was rescued of them."""
     good = df.filter(F.col(RESCUED).isNull()).drop(RESCUED)
     return good, df.filter(F.col(RESCUED).isNotNull())
 

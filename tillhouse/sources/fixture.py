@@ -2,99 +2,95 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.functions.fixed import AMOUNT, SALARY
+# Column names and types of the given test tables. Declaring them saves a footer scan per read.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
+_SALE = [
+    "l_orderkey AS Order_ID",
+    "o_orderdate AS Order_Date",
+    "p_type AS Category",
+    "p_brand AS Sub_Category",
+    "p_name AS Product_Name",
+    "CAST(l_extendedprice AS DECIMAL(18,4)) AS Sales",
+    "CAST(l_quantity AS INT) AS Quantity",
+    "CAST(l_discount AS DECIMAL(18,4)) AS Discount",
+    "CAST(l_tax AS DECIMAL(18,4)) AS Profit",
+    "CAST(p_retailprice AS DECIMAL(18,4)) AS Cost",
+    "l_orderkey * 10 + l_linenumber AS payment_id",
+    "o_orderpriority AS payment_method",
+    "o_orderstatus AS payment_provider",
+]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_BUYER = [
+    "c_mktsegment AS customer_name",
+    "c_name AS customer_surname",
+    "IF(c_custkey % 2 = 0, 'F', 'M') AS customer_gender",
+    "CAST(18 + c_custkey % 60 AS INT) AS customer_age",
+    "' ' || c_name || '@example.com ' AS customer_email",
+    "'+1-' || c_custkey AS customer_phone_number",
+    "'Z' || c_nationkey AS Postal_Code",
+    "n_name || '-C' || c_custkey % 3 || ' ' AS City",
+    "n_name AS State",
+    "'Q' || n_nationkey % 4 AS Region",
+    "CASE r_name WHEN 'AMERICA' THEN ' USA ' WHEN 'EUROPE' THEN 'UK' ELSE r_name END AS Country",
+]
+
+_SHOP = [
+    "s_suppkey AS store_id",
+    "s_name AS store_name",
+    "n_name || '-C' || s_suppkey % 3 AS store_city",
+    "n_name AS store_state",
+    "'Q' || n_nationkey % 4 AS store_region",
+    "CASE r_name WHEN 'AMERICA' THEN 'United States' WHEN 'EUROPE' THEN 'United Kingdom' ELSE r_name END "
+    "AS store_country",
+    "s_suppkey % 37 AS employee_id",
+    "'E' || s_suppkey % 37 AS employee_name",
+    "'S' || s_suppkey % 37 AS employee_surname",
+    "IF(s_suppkey % 37 % 2 = 0, 'F', 'M') AS employee_gender",
+    "CAST(s_acctbal AS DECIMAL(10,2)) AS employee_monthly_salary",
+]
 
 
-def _country(region: Column, america: str, europe: str) -> Column:
-    return F.when(region == "AMERICA", america).when(region == "EUROPE", europe).otherwise(region)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _quarter() -> Column:
-    return F.concat(F.lit("Q"), (F.col("n_nationkey") % 4).cast("string"))
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
 
 
-def _sale_columns(order_date: str) -> list[Column]:
-    return [
-        F.col("l_orderkey").alias("Order_ID"),
-        F.col("o_orderdate").alias(order_date),
-        F.col("p_type").alias("Category"),
-        F.col("p_brand").alias("Sub_Category"),
-        F.col("p_name").alias("Product_Name"),
-        F.col("l_extendedprice").cast(AMOUNT).alias("Sales"),
-        F.col("l_quantity").cast("int").alias("Quantity"),
-        F.col("l_discount").cast(AMOUNT).alias("Discount"),
-        F.col("l_tax").cast(AMOUNT).alias("Profit"),
-        F.col("p_retailprice").cast(AMOUNT).alias("Cost"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_id"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.col("o_orderstatus").alias("payment_provider"),
-    ]
+def _sales(spark: SparkSession, sf_dir: str, orders: DataFrame, remainder: int) -> DataFrame:
+    """Lines of one channel; the small order side is assembled before it meets the lines."""
+    lines = table(spark, sf_dir, "lineitem").where(f"l_orderkey % 2 = {remainder}")
+    parts = table(spark, sf_dir, "part")
+    return lines.join(orders, F.expr("l_orderkey = o_orderkey")).join(parts, F.expr("l_partkey = p_partkey"))
 
 
 def online(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    buyers = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    orders = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % 2 == 0)
-    key = F.col("c_custkey")
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            *_sale_columns("Order_Date"),
-            F.col("c_mktsegment").alias("customer_name"),
-            F.col("c_name").alias("customer_surname"),
-            F.when(key % 2 == 0, "F").otherwise("M").alias("customer_gender"),
-            (18 + key % 60).cast("int").alias("customer_age"),
-            F.concat(F.lit(" "), "c_name", F.lit("@example.com ")).alias("customer_email"),
-            F.concat(F.lit("+1-"), key.cast("string")).alias("customer_phone_number"),
-            F.concat(F.lit("Z"), F.col("c_nationkey").cast("string")).alias("Postal_Code"),
-            F.concat("n_name", F.lit("-C"), (key % 3).cast("string"), F.lit(" ")).alias("City"),
-            F.col("n_name").alias("State"),
-            _quarter().alias("Region"),
-            _country(F.col("r_name"), " USA ", "UK").alias("Country"),
-        )
-    )
+    buyers = table(spark, sf_dir, "customer").join(_places(spark, sf_dir), F.expr("c_nationkey = n_nationkey"))
+    orders = table(spark, sf_dir, "orders").join(buyers, F.expr("o_custkey = c_custkey"))
+    return _sales(spark, sf_dir, orders, 0).selectExpr(*_SALE, *_BUYER)
 
 
 def offline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
     supplier = table(spark, sf_dir, "supplier")
-    stores = supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-    store_of_order = F.floor(F.col("o_orderkey") / 2).cast("bigint") % supplier.agg(F.count("*")).scalar()
-    orders = (
-        table(spark, sf_dir, "orders")
-        .withColumn("o_storekey", store_of_order)
-        .join(stores, F.col("o_storekey") == F.col("s_suppkey"))
-    )
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % 2 == 1)
-    store, employee = F.col("s_suppkey"), F.col("s_suppkey") % 37
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            *_sale_columns("Order_date"),
-            store.alias("store_id"),
-            F.col("s_name").alias("store_name"),
-            F.concat("n_name", F.lit("-C"), (store % 3).cast("string")).alias("store_city"),
-            F.col("n_name").alias("store_state"),
-            _quarter().alias("store_region"),
-            _country(F.col("r_name"), "United States", "United Kingdom").alias("store_country"),
-            employee.alias("employee_id"),
-            F.concat(F.lit("E"), employee.cast("string")).alias("employee_name"),
-            F.concat(F.lit("S"), employee.cast("string")).alias("employee_surname"),
-            F.when(employee % 2 == 0, "F").otherwise("M").alias("employee_gender"),
-            F.col("s_acctbal").cast(SALARY).alias("employee_monthly_salary"),
-        )
-    )
+    shops = supplier.join(_places(spark, sf_dir), F.expr("s_nationkey = n_nationkey"))
+    turn = F.expr("CAST(FLOOR(o_orderkey / 2) AS BIGINT)") % supplier.agg(F.count("*")).scalar()
+    orders = table(spark, sf_dir, "orders").withColumn("o_shopkey", turn).join(shops, F.expr("o_shopkey = s_suppkey"))
+    sales = _sales(spark, sf_dir, orders, 1).selectExpr(*_SALE, *_SHOP)
+    return sales.withColumnRenamed("Order_Date", "Order_date")
