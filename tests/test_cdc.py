@@ -113,10 +113,12 @@ def test_streamed_history_equals_batch_and_ignores_replay(spark, tmp_path):
     changes = [c for c in EDGE] + [(f"k{i % 5}", at(i % 17), "xyz"[i % 3]) for i in range(60)]
     random.Random(3).shuffle(changes)
     batches = [changes[i::4] for i in range(4)]
-    table = HistoryTable(str(tmp_path / "t"), ["k"], "ts", buckets=3, track=["v"])
+    table = HistoryTable(str(tmp_path / "t"), ["k"], "ts", ["v"])
     for i, batch in enumerate(batches):
         table.merge(spark.createDataFrame(batch, SCHEMA), i)
         seen = [c for b in batches[: i + 1] for c in b]
+        if i in (1, 3):
+            table.compact(spark)
         assert rows(table.read(spark).select("k", "v", "start_at", "end_at")) == brute(seen)
     before = rows(table.read(spark))
     table.merge(spark.createDataFrame(batches[3], SCHEMA), 3)
@@ -124,7 +126,7 @@ def test_streamed_history_equals_batch_and_ignores_replay(spark, tmp_path):
 
 
 def test_half_written_batch_is_invisible_and_repaired(spark, tmp_path, monkeypatch):
-    table = HistoryTable(str(tmp_path / "t"), ["k"], "ts", buckets=2, track=["v"])
+    table = HistoryTable(str(tmp_path / "t"), ["k"], "ts", ["v"])
     first, second = [("a", at(1), "A"), ("b", at(1), "B")], [("a", at(2), "C")]
     table.merge(spark.createDataFrame(first, SCHEMA), 0)
 
@@ -132,7 +134,7 @@ def test_half_written_batch_is_invisible_and_repaired(spark, tmp_path, monkeypat
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(HistoryTable, "_finish", crash)
+        patch.setattr(HistoryTable, "_mark", crash)
         with pytest.raises(RuntimeError):
             table.merge(spark.createDataFrame(second, SCHEMA), 1)
     assert rows(table.read(spark).select("k", "v", "start_at", "end_at")) == brute(first)
@@ -151,7 +153,7 @@ def test_streamed_current_rows_equal_batch(spark, tmp_path):
 
 
 def test_empty_batch_changes_nothing(spark, tmp_path):
-    table = HistoryTable(str(tmp_path / "t"), ["k"], "ts", track=["v"])
+    table = HistoryTable(str(tmp_path / "t"), ["k"], "ts", ["v"])
     table.merge(spark.createDataFrame([("a", at(1), "A")], SCHEMA), 0)
     table.merge(spark.createDataFrame([], SCHEMA), 1)
     table.merge(spark.createDataFrame([(None, at(1), "A")], SCHEMA), 2)

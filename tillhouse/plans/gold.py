@@ -111,73 +111,94 @@ def _sale_key() -> Column:
     return md5_key("order_src_id", "product_id")
 
 
-def fact_sales(
-    items: DataFrame,
-    orders: DataFrame,
-    payment: DataFrame,
-    dims: dict[str, DataFrame],
+def _attach(items: DataFrame, heads: DataFrame, order: str) -> DataFrame:
+    """Lines with the columns of their order's head; ``order`` is the shared key, NULL on lines without order.
+
+    The join key is the key's text, an expression neither side is partitioned by. Both sides therefore get an exchange
+    made for this join, which is what lets the run-time skew rule split an order that holds a large share of all
+    lines. Lines without order are spread over dead keys.
+    """
+    known = heads.filter(F.col(order).isNotNull())
+    right = known.withColumn("_order", F.concat(F.lit("="), F.col(order).cast("string"))).drop(order)
+    left = F.concat(F.lit("="), F.col(order).cast("string"))
+    keyed = items.withColumn("_order", spread_nulls(left, "order_item_id", *_MEASURES))
+    return keyed.join(right, on="_order", how="left").drop("_order")
+
+
+def _finish(rows: DataFrame) -> DataFrame:
+    """Fact columns from lines that carry ``order_src_id`` and ``product_id``."""
+    return rows.withColumns({"sale_sk": _sale_key(), "order_id": F.col("order_src_id")}).select(*_FACT)
+
+
+def _with_employee(heads: DataFrame, employees: DataFrame) -> DataFrame:
+    return heads.join(current_employees(employees), on="employee_src_id", how="left")
+
+
+def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employees: DataFrame) -> DataFrame:
+    """The fact from stored silver tables.
+
+    Order and line already carry the surrogates of every dimension but the employee version, so only
+    ``dim_employee`` is joined, and that to the order heads. The lines are shuffled once.
+    """
+    heads = _with_employee(orders.join(payment_per_order(payment), on="order_id", how="left"), employees).select(
+        "order_id",
+        "order_src_id",
+        F.col("customer_id").alias("customer_sk"),
+        F.col("store_id").alias("store_sk"),
+        "employee_sk",
+        F.col("method_id").alias("payment_method_sk"),
+        date_key(safe_date("order_date")).alias("order_date_sk"),
+        "payment_amount",
+        "source_system",
+        "source_entity",
+    )
+    return _finish(_attach(items, heads, "order_id").withColumn("product_sk", F.col("product_id")))
+
+
+def fact_sales_joined(
+    items: DataFrame, orders: DataFrame, payment: DataFrame, dims: dict[str, DataFrame]
 ) -> DataFrame:
-    """Star assembly from stored tables, every join a left join.
+    """The same by joining all six dimensions, every join a left join: a key missing from its dimension gives NULL.
 
-    ``dims``: ``customer employee store product payment_method date``. All dimensions that hang on the order are
-    joined to the order headers, which are a fraction of the lines; the lines are shuffled once, by order, and
-    then meet only the product dimension.
+    ``dims``: ``customer employee store product payment_method date``. What hangs on the order is joined to the order
+    heads, a fraction of the lines; the lines meet only the heads and the product dimension.
     """
     heads = orders.join(payment_per_order(payment), on="order_id", how="left").withColumn(
         "full_date", safe_date("order_date")
     )
     heads = (
-        heads.join(dims["customer"].select("customer_sk", "customer_id"), on="customer_id", how="left")
-        .join(current_employees(dims["employee"]), on="employee_src_id", how="left")
+        _with_employee(heads, dims["employee"])
+        .join(dims["customer"].select("customer_sk", "customer_id"), on="customer_id", how="left")
         .join(dims["store"].select("store_sk", "store_id"), on="store_id", how="left")
         .join(dims["payment_method"].select("payment_method_sk", "method_id"), on="method_id", how="left")
         .join(dims["date"].select(F.col("date_sk").alias("order_date_sk"), "full_date"), on="full_date", how="left")
         .drop("customer_id", "employee_src_id", "store_id", "method_id", "full_date", "order_date")
     )
-    return (
-        items.join(heads, on="order_id", how="left")
-        .join(dims["product"].select("product_sk", "product_id"), on="product_id", how="left")
-        .withColumns({"sale_sk": _sale_key(), "order_id": F.col("order_src_id")})
-        .select(*_FACT)
-    )
+    rows = _attach(items, heads, "order_id")
+    return _finish(rows.join(dims["product"].select("product_sk", "product_id"), on="product_id", how="left"))
 
 
 def fact_sales_from_lines(lines: DataFrame, employees: DataFrame) -> DataFrame:
-    """The same fact under the path rules without a dimension join: all keys but the employee version are computed.
+    """The same under the path rules straight from the lines.
 
-    One aggregation folds header and first payment of each order out of the lines, one join brings them back. The
-    join key is the order hash rather than the grouping columns, so both sides are exchanged for this join and the
-    run-time skew rule can split an order that holds a large share of all lines. Lines without order number are
-    spread over dead keys. ``employees`` is ``dim_employee``.
+    One aggregation folds header and first payment of each order out of the lines, one join brings them back.
+    ``employees`` is ``dim_employee``.
     """
     first = F.min(F.struct("payment_id", "payment_amount", "method_id")).alias("_first")
     paid = payment_keys(lines).withColumn("method_id", fk60(*METHOD_KEY, required=2))
-    heads = (
-        orders(order_headers(paid, first), keep=("_first",))
-        .join(current_employees(employees), on="employee_src_id", how="left")
-        .select(
-            F.col("order_src_id").alias("_order"),
-            F.col("customer_id").alias("customer_sk"),
-            F.col("store_id").alias("store_sk"),
-            "employee_sk",
-            F.col("_first.method_id").alias("payment_method_sk"),
-            date_key(safe_date("order_date")).alias("order_date_sk"),
-            "_first.payment_amount",
-            "source_system",
-            "source_entity",
-        )
-        .filter(F.col("_order").isNotNull())
-    )
-    items = orders_items(lines, keep=("order_src_id",))
-    key = spread_nulls(F.col("order_src_id"), "order_item_id", *_MEASURES)
-    return (
-        items.withColumn("_order", key)
-        .join(heads, on="_order", how="left")
-        .withColumns(
-            {"sale_sk": _sale_key(), "order_id": F.col("order_src_id"), "product_sk": F.col("product_id")}
-        )
-        .select(*_FACT)
+    heads = _with_employee(orders(order_headers(paid, first), keep=("_first",)), employees).select(
+        "order_src_id",
+        F.col("customer_id").alias("customer_sk"),
+        F.col("store_id").alias("store_sk"),
+        "employee_sk",
+        F.col("_first.method_id").alias("payment_method_sk"),
+        date_key(safe_date("order_date")).alias("order_date_sk"),
+        "_first.payment_amount",
+        "source_system",
+        "source_entity",
     )
+    items = orders_items(lines, keep=("order_src_id",)).withColumn("product_sk", F.col("product_id"))
+    return _finish(_attach(items, heads, "order_src_id"))
 
 
 def dimensions(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -192,9 +213,11 @@ def dimensions(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "date": dim_date(silver["orders"]),
     }
 
-def fact(silver: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
-    """The fact over the normalized tables and the dimensions."""
-    return fact_sales(silver["orders_items"], silver["orders"], silver["payment"], dims)
+
+def fact(silver: dict[str, DataFrame], dims: dict[str, DataFrame], joined: bool = False) -> DataFrame:
+    """The fact over the normalized tables; ``joined`` looks every surrogate up in its dimension."""
+    facts = [silver[name] for name in ("orders_items", "orders", "payment")]
+    return fact_sales_joined(*facts, dims) if joined else fact_sales(*facts, dims["employee"])
 
 
 def audited(name: str, dim: DataFrame) -> DataFrame:

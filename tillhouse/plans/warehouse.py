@@ -44,6 +44,20 @@ from tillhouse.streaming.refresh import append_to, merge_into
 
 PRODUCT_TABLES = ["categories", "sub_categories", "products"]
 DIMENSIONS = ["customer", "employee", "store", "product", "payment_method", "date"]
+COMMENTS = {
+    "categories": "Product categories of both channels",
+    "sub_categories": "Product sub-categories of both channels",
+    "products": "Products of both channels",
+    "region": "Regions of both channels",
+    "state": "States of both channels",
+    "dim_customer": "Customers with their geography, latest attributes only",
+    "dim_employee": "Employee versions",
+    "dim_store": "Shops with their geography",
+    "dim_product": "Products with their category hierarchy",
+    "dim_payment_method": "Payment methods of both channels",
+    "dim_date": "Days between the first and the last order",
+    "fact_sales": "Sales, one row per order line",
+}
 STREAMED = ["orders", "orders_items", "payment"]
 
 
@@ -96,9 +110,7 @@ class Warehouse:
         return sales_lines(*streams)
 
     def history(self) -> HistoryTable:
-        return HistoryTable(
-            self.path("silver", "employee_history"), EMPLOYEE_KEYS, "update_dt", track=EMPLOYEE_TRACK
-        )
+        return HistoryTable(self.path("silver", "employee_changes"), EMPLOYEE_KEYS, "update_dt", EMPLOYEE_TRACK)
 
     def stream_facts(self) -> None:
         """New lines to orders, order items, payments and employee history."""
@@ -138,16 +150,19 @@ class Warehouse:
             "payment_methods": payment_methods(lines),
         }
 
-    def _publish(self, layer: str, name: str, df: DataFrame) -> None:
-        publish(df, f"{layer}.{name}", self.path(layer, name), properties=TABLE_PROPERTIES[layer])
+    def employee_history(self) -> DataFrame:
+        """Versions from the change log taken in so far."""
+        return employee_history(self.history().read(self.spark))
+
+    def _publish(self, layer: str, name: str, df: DataFrame, balanced: bool = True) -> None:
+        path = self.path(layer, name)
+        publish(df, f"{layer}.{name}", path, COMMENTS.get(name), TABLE_PROPERTIES[layer], balanced)
 
     def silver(self) -> dict[str, DataFrame]:
         """All silver tables as stored."""
-        names = [*PRODUCT_TABLES, *GEOGRAPHY_LEVELS, "store", "customer", "payment_methods"]
+        names = [*PRODUCT_TABLES, *GEOGRAPHY_LEVELS, "store", "customer", "payment_methods", "employee_history"]
         tables = {name: self.spark.read.table(f"silver.{name}") for name in names}
-        tables |= {name: self.spark.read.parquet(self.path("silver", name)) for name in STREAMED}
-        tables["employee_history"] = employee_history(self.history().read(self.spark))
-        return tables
+        return tables | {name: self.spark.read.parquet(self.path("silver", name)) for name in STREAMED}
 
     def refresh(self) -> dict[str, DataFrame]:
         """Take in new files and bring every table up to date. Returns the gold tables."""
@@ -157,9 +172,10 @@ class Warehouse:
         self.stream_facts()
         for name, df in self.dictionaries().items():
             self._publish("silver", name, with_audit(df))
+        self._publish("silver", "employee_history", self.employee_history())
         tables = self.silver()
         for name, df in dimensions(tables).items():
             self._publish("gold", f"dim_{name}", audited(name, df))
         dims = {name: self.spark.read.table(f"gold.dim_{name}") for name in DIMENSIONS}
-        self._publish("gold", "fact_sales", with_audit(fact(tables, dims)))
+        self._publish("gold", "fact_sales", with_audit(fact(tables, dims)), balanced=False)
         return {name: self.spark.read.table(f"gold.{name}") for name in [*(f"dim_{d}" for d in DIMENSIONS), "fact_sales"]}

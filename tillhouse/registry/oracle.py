@@ -403,6 +403,7 @@ ORACLE: dict[str, str] = {
  where order_id is not null group by order_id""",
     ),
     "fact_sales": _with(_FACT_TABLES, _text_keys(FACT, *_FACT_KEYS)),
+    "fact_sales_from_tables": _with(_FACT_TABLES, _text_keys(FACT, *_FACT_KEYS)),
     "fact_sales_star_joins": _with(_FACT_TABLES, _text_keys(FACT, *_FACT_KEYS)),
     "sales_report": _with(
         {},
@@ -417,6 +418,8 @@ ORACLE: dict[str, str] = {
  email order by order_date desc, first_name desc, last_name desc, phone_number desc, postal_code desc, city_name desc) = 1""",
     ),
     "scd1_events": """select user_id, ts, event_type, event_id from events where user_id is not null and ts is not null
+ qualify row_number() over (partition by user_id order by ts desc, event_type desc, event_id desc) = 1""",
+    "scd1_events_stream": """select user_id, ts, event_type, event_id from events
  qualify row_number() over (partition by user_id order by ts desc, event_type desc, event_id desc) = 1""",
     "scd2_events": EVENTS_HISTORY,
     "scd2_current": f"select * from ({EVENTS_HISTORY}) where end_at is null",

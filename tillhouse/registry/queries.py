@@ -35,7 +35,7 @@ from tillhouse.sources.csv_files import (
     write_csv,
 )
 from tillhouse.sources.storage import publish, read_table_stream, scratch, stored
-from tillhouse.streaming.cdc import HistoryTable
+from tillhouse.streaming.cdc import CurrentTable, HistoryTable
 from tillhouse.streaming.dedup import dedup_stream
 from tillhouse.streaming.enrich import enrich_stream
 from tillhouse.streaming.refresh import append_to, merge_into
@@ -638,9 +638,20 @@ def _stored_star(lines: DataFrame) -> tuple[dict[str, DataFrame], dict[str, Data
 
 @query
 def fact_sales_star_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact by joining stored tables, which is how gold is built from silver."""
+    """The fact by looking every surrogate up in its stored dimension."""
     lines = stored(_lines(spark, sf_dir), "lines")
-    return _text_keys(gold.fact(*_stored_star(lines)), *_FACT_KEYS)
+    return _text_keys(gold.fact(*_stored_star(lines), joined=True), *_FACT_KEYS)
+
+
+@query
+def fact_sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from silver tables, joining only the employee versions."""
+    lines = _lines(spark, sf_dir)
+    headers = silver.orders(silver.order_headers(lines))
+    fact = gold.fact_sales(
+        silver.orders_items(lines), headers, silver.payment(lines), stored(_employees(lines), "employees")
+    )
+    return _text_keys(fact, *_FACT_KEYS)
 
 
 @query
@@ -699,7 +710,18 @@ def scd2_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "event-files")
     rows = _event_changes(_events(spark, sf_dir))
     rows.repartition(3, "event_type", "ts").write.parquet(path)
-    table = HistoryTable(scratch(spark, "event-history"), ["user_id"], "ts", buckets=8, track=["event_type"])
+    table = HistoryTable(scratch(spark, "event-history"), ["user_id"], "ts", ["event_type"])
+    merge_into(read_table_stream(spark, path, rows.schema, 1), table.merge, scratch(spark, "event-checkpoint"))
+    return table.read(spark)
+
+
+@query
+def scd1_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows maintained batch by batch from files in an order unrelated to time."""
+    path = scratch(spark, "event-files")
+    rows = _events(spark, sf_dir).select("user_id", "ts", "event_type", "event_id")
+    rows.repartition(3, "event_type", "ts").write.parquet(path)
+    table = CurrentTable(scratch(spark, "event-current"), ["user_id"], "ts", buckets=8)
     merge_into(read_table_stream(spark, path, rows.schema, 1), table.merge, scratch(spark, "event-checkpoint"))
     return table.read(spark)
 
@@ -787,7 +809,7 @@ def refresh_incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFra
         "employee_history": silver.employee_history(silver.employee_versions(silver.employee_changes(lines))),
     }
     incremental = {name: spark.read.parquet(house.path("silver", name)) for name in full if name != "employee_history"}
-    incremental["employee_history"] = silver.employee_history(house.history().read(spark))
+    incremental["employee_history"] = house.employee_history()
     parts = []
     for name, rows in full.items():
         both = rows.withColumn("_side", F.lit(1)).unionByName(

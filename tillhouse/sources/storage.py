@@ -66,11 +66,21 @@ def checked(df: DataFrame, ddl: str) -> DataFrame:
 
 
 def publish(
-    df: DataFrame, table: str, path: str, comment: str | None = None, properties: dict[str, str] | None = None
+    df: DataFrame,
+    table: str,
+    path: str,
+    comment: str | None = None,
+    properties: dict[str, str] | None = None,
+    balanced: bool = True,
 ) -> None:
-    """Overwrite a named table with comment and properties, its files balanced to the advisory partition size."""
+    """Overwrite a named table with comment and properties.
+
+    ``balanced`` adds a shuffle that evens out file sizes; leave it off for a large result of a join or aggregation,
+    whose partitions are already sized at run time.
+    """
     spark = df.sparkSession
-    df.hint("rebalance").write.mode("overwrite").option("path", path).saveAsTable(table)
+    frame = df.hint("rebalance") if balanced else df
+    frame.write.mode("overwrite").option("path", path).saveAsTable(table)
     if comment is not None:
         quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
