@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillhouse.operators.calendar import date_dim, safe_date
 from tillhouse.operators.dedup import dedup, latest, top1
 from tillhouse.operators.dictionary import source_dictionary, union_sources
-from tillhouse.operators.lookup import flatten, lookup, lookup_leaf, lookup_path, spread_nulls
+from tillhouse.operators.lookup import flatten, join_key, lookup, lookup_leaf, lookup_path, spread_nulls
 
 
 def _tagged(spark):
@@ -76,12 +76,43 @@ def test_flatten_climbs_levels(spark):
     assert rows(flat) == [(1, "top"), (2, None)]
 
 
+def test_join_key_tells_values_apart_and_propagates_null(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), ("1:a", "b"), ("a", None), (None, "a")], "a string, b string")
+    keys = [r[0] for r in df.select(join_key("a", "b")).collect()]
+    assert keys[3:] == [None, None] and len(set(keys[:3])) == 3 and all(k.startswith("=") for k in keys[:3])
+
+
 def test_spread_nulls_never_matches_and_spreads(spark):
     df = spark.range(2000).select("id", F.lit(None).cast("string").alias("k"))
-    keys = df.select(spread_nulls(F.col("k"), "id").alias("k"))
-    assert keys.filter(F.col("k").isNull()).count() == 0
+    keys = df.select(spread_nulls(join_key("k"), "id").alias("k"))
+    assert keys.filter(~F.col("k").startswith("!")).count() == 0
     assert keys.distinct().count() > 1500
-    assert df.select(spread_nulls(F.lit("x"), "id")).distinct().first()[0] == "x"
+    dim = spark.createDataFrame([("x", 1), (None, 2)], "k string, v int")
+    assert rows(lookup(df, dim, "k", ["v"], spread_by=["id"]).groupBy("v").count()) == [(None, 2000)]
+
+
+def test_lookup_of_a_hot_key_is_split(spark):
+    """A third of the rows share one key; the guarded dimension is not small enough to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+        dim = spark.range(30_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        found = lookup(df, dim, "k", ["v"])
+        assert sum(r.v for r in found.collect()) == sum(2 * i for i in range(30_000) if i % 3)
+        assert "skew=true" in plan(found)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_dedup_is_decided_by_order_not_by_arrival(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.plans import silver
 from tillhouse.plans.lines import HEADER
+from tillhouse.session import CLUSTER_SETTINGS
 from tillhouse.sources.storage import stored
 from tillhouse.streaming.dedup import dedup_stream
 from tillhouse.streaming.enrich import enrich_stream
@@ -57,6 +58,19 @@ def test_watermark_dedup_forgets_after_the_delay(spark, tmp_path):
     assert got.columns == ["k", "ts", "n"]
 
 
+def test_dedup_state_can_live_in_rocksdb(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, CLUSTER_SETTINGS[name])
+    try:
+        _drop_in(spark, str(tmp_path / "in"), 0, [("a", 0, 1), ("a", 0, 2), ("b", 0, 3)])
+        _dedup_run(spark, tmp_path)
+        _drop_in(spark, str(tmp_path / "in"), 1, [("a", 9, 4), ("c", 9, 5)])
+        assert sorted(r.k for r in _dedup_run(spark, tmp_path).collect()) == ["a", "b", "c"]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_a_watermark_needs_a_delay(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path))
     with pytest.raises(ValueError, match="delay"):

@@ -10,7 +10,9 @@ from tillhouse.operators.dedup import latest
 
 def usable(changes: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
     """Changes that can be placed: every key part and the sequence present."""
-    return changes.dropna(subset=[*keys, sequence_by])
+    for name in [*keys, sequence_by]:
+        changes = changes.filter(F.col(name).isNotNull())
+    return changes
 
 
 def unusable(changes: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
@@ -55,6 +57,8 @@ def versions(
         F.struct(*tracked).alias("_now"),
         F.date_trunc(time_slice, sequence_by).alias("_slice"),
     )
+    # the joins below would infer this on one side only; said here, all branches share one shuffle of the log
+    rows = rows.filter(F.col("_slice").isNotNull())
     cell = [*keys, "_slice"]
     within = Window.partitionBy(*cell).orderBy("start_at")
     across = Window.partitionBy(*keys).orderBy("_slice")

@@ -17,14 +17,40 @@ def unique_by(dim: DataFrame, on: list[str], take: list[str]) -> DataFrame:
     return found.select(*on, row.alias("_row")).select(*on, *[F.col("_row")[c].alias(c) for c in take])
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: str | list[str], take: list[str], unique: bool = False) -> DataFrame:
-    """Left equi-join that adds ``take`` from ``dim``.
+def join_key(*cols: Column | str) -> Column:
+    """One text for several columns, different for different values; NULL when one of them is NULL."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    parts: list[Column] = [F.lit("=")]
+    for text in texts[:-1]:
+        parts += [F.length(text).cast("string"), F.lit(":"), text]
+    return F.concat(*parts, texts[-1])
 
-    ``unique=True`` says that ``dim`` is unique on the key by construction and skips the guard.
+
+def spread_nulls(key: Column, *by: Column | str) -> Column:
+    """A ``join_key`` without NULLs: rows that can match nothing get one of many dead keys instead of sharing a task."""
+    return F.coalesce(key, F.concat(F.lit("!"), F.pmod(F.xxhash64(*by), F.lit(65536)).cast("string")))
+
+
+def lookup(
+    df: DataFrame,
+    dim: DataFrame,
+    on: str | list[str],
+    take: list[str],
+    unique: bool = False,
+    spread_by: list[str] | None = None,
+) -> DataFrame:
+    """Left equi-join that adds ``take`` from ``dim``; never multiplies rows.
+
+    ``unique=True`` says that ``dim`` is unique on the key by construction and skips the guard. A small ``dim`` is
+    broadcast. Otherwise the join runs on the key's text, an expression neither side is partitioned by: both sides
+    then get an exchange made for this join, the condition under which the run-time skew rule splits a key that many
+    rows of ``df`` share. ``spread_by`` names columns that scatter rows whose key is NULL.
     """
     keys = [on] if isinstance(on, str) else list(on)
     side = dim.select(*keys, *take) if unique else unique_by(dim, keys, take)
-    return df.join(side, on=keys, how="left")
+    known = side.select(join_key(*keys).alias("_key"), *take).filter(F.col("_key").isNotNull())
+    key = join_key(*keys) if spread_by is None else spread_nulls(join_key(*keys), *spread_by)
+    return df.withColumn("_key", key).join(known, on="_key", how="left").drop("_key")
 
 
 def lookup_leaf(child: DataFrame, parent: DataFrame, on: str, take: list[str]) -> DataFrame:
@@ -52,10 +78,3 @@ def flatten(df: DataFrame, levels: list[tuple[DataFrame, str]]) -> DataFrame:
     """Climb a snowflake: every level is ``(table, key shared with the columns gathered so far)``."""
     return reduce(lambda wide, level: wide.join(level[0], on=level[1], how="left"), levels, df)
 
-
-def spread_nulls(key: Column, *by: Column | str) -> Column:
-    """Left-join key without NULLs: rows that can match nothing get one of many dead keys instead of sharing one task.
-
-    Only for string keys that never start with '!'.
-    """
-    return F.coalesce(key, F.concat(F.lit("!"), F.pmod(F.xxhash64(*by), F.lit(65536)).cast("string")))

@@ -10,7 +10,7 @@ from tillhouse.functions.fixed import OFFLINE
 from tillhouse.functions.keys import fk60, md5_key, sk60
 from tillhouse.operators.calendar import date_dim, date_key, safe_date
 from tillhouse.operators.dedup import dedup, top1
-from tillhouse.operators.lookup import flatten, spread_nulls
+from tillhouse.operators.lookup import flatten, lookup
 from tillhouse.plans.silver import METHOD_KEY, order_headers, orders, orders_items, payment_keys
 
 
@@ -23,11 +23,16 @@ def flat_geography(city: DataFrame, state: DataFrame, region: DataFrame, country
             (region.select("region_id", "country_id", "region_name"), "region_id"),
             (country.select("country_id", "country_name"), "country_id"),
         ],
-    ).select("city_id", "city_name", "state_name", "region_name", "country_name")
+    ).select("city_id", *_PLACE)
+
+
+_PLACE = ["city_name", "state_name", "region_name", "country_name"]
 
 
 def dim_customer(customer: DataFrame, geography: DataFrame) -> DataFrame:
-    return flatten(customer, [(geography, "city_id")]).select(
+    # customers may be many, and a large share may live in one city or in none
+    placed = lookup(customer, geography, "city_id", _PLACE, unique=True, spread_by=["customer_id"])
+    return placed.select(
         F.col("customer_id").alias("customer_sk"), "customer_id", "customer_src_id", "first_name", "last_name",
         "gender", "age", "email", "phone_number", "postal_code", "city_name", "state_name", "region_name",
         "country_name", "source_system",
@@ -111,18 +116,15 @@ def _sale_key() -> Column:
     return md5_key("order_src_id", "product_id")
 
 
-def _attach(items: DataFrame, heads: DataFrame, order: str) -> DataFrame:
-    """Lines with the columns of their order's head; ``order`` is the shared key, NULL on lines without order.
+_HEAD = [
+    "customer_sk", "employee_sk", "store_sk", "payment_method_sk", "order_date_sk", "payment_amount",
+    "source_system", "source_entity",
+]
+
 
-    The join key is the key's text, an expression neither side is partitioned by. Both sides therefore get an exchange
-    made for this join, which is what lets the run-time skew rule split an order that holds a large share of all
-    lines. Lines without order are spread over dead keys.
-    """
-    known = heads.filter(F.col(order).isNotNull())
-    right = known.withColumn("_order", F.concat(F.lit("="), F.col(order).cast("string"))).drop(order)
-    left = F.concat(F.lit("="), F.col(order).cast("string"))
-    keyed = items.withColumn("_order", spread_nulls(left, "order_item_id", *_MEASURES))
-    return keyed.join(right, on="_order", how="left").drop("_order")
+def _attach(items: DataFrame, heads: DataFrame, order: str, take: list[str]) -> DataFrame:
+    """Lines with columns of their order's head. A hot order is split, lines without order are scattered."""
+    return lookup(items, heads, order, take, unique=True, spread_by=["order_item_id", *_MEASURES])
 
 
 def _finish(rows: DataFrame) -> DataFrame:
@@ -131,7 +133,11 @@ def _finish(rows: DataFrame) -> DataFrame:
 
 
 def _with_employee(heads: DataFrame, employees: DataFrame) -> DataFrame:
-    return heads.join(current_employees(employees), on="employee_src_id", how="left")
+    """Heads with the surrogate of the employee's open version; online orders have no employee."""
+    open_versions = current_employees(employees)
+    return lookup(
+        heads, open_versions, "employee_src_id", ["employee_sk"], unique=True, spread_by=["order_src_id"]
+    )
 
 
 def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employees: DataFrame) -> DataFrame:
@@ -152,7 +158,8 @@ def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employee
         "source_system",
         "source_entity",
     )
-    return _finish(_attach(items, heads, "order_id").withColumn("product_sk", F.col("product_id")))
+    rows = _attach(items, heads, "order_id", ["order_src_id", *_HEAD])
+    return _finish(rows.withColumn("product_sk", F.col("product_id")))
 
 
 def fact_sales_joined(
@@ -166,16 +173,19 @@ def fact_sales_joined(
     heads = orders.join(payment_per_order(payment), on="order_id", how="left").withColumn(
         "full_date", safe_date("order_date")
     )
-    heads = (
-        _with_employee(heads, dims["employee"])
-        .join(dims["customer"].select("customer_sk", "customer_id"), on="customer_id", how="left")
-        .join(dims["store"].select("store_sk", "store_id"), on="store_id", how="left")
-        .join(dims["payment_method"].select("payment_method_sk", "method_id"), on="method_id", how="left")
-        .join(dims["date"].select(F.col("date_sk").alias("order_date_sk"), "full_date"), on="full_date", how="left")
-        .drop("customer_id", "employee_src_id", "store_id", "method_id", "full_date", "order_date")
+    heads = _with_employee(heads, dims["employee"])
+    dates = dims["date"].withColumnRenamed("date_sk", "order_date_sk")
+    for dim, key, surrogate in [
+        (dims["customer"], "customer_id", "customer_sk"),
+        (dims["store"], "store_id", "store_sk"),
+        (dims["payment_method"], "method_id", "payment_method_sk"),
+        (dates, "full_date", "order_date_sk"),
+    ]:
+        heads = lookup(heads, dim, key, [surrogate], unique=True, spread_by=["order_src_id"])
+    rows = _attach(items, heads, "order_id", ["order_src_id", *_HEAD])
+    return _finish(
+        lookup(rows, dims["product"], "product_id", ["product_sk"], unique=True, spread_by=["order_item_id", *_MEASURES])
     )
-    rows = _attach(items, heads, "order_id")
-    return _finish(rows.join(dims["product"].select("product_sk", "product_id"), on="product_id", how="left"))
 
 
 def fact_sales_from_lines(lines: DataFrame, employees: DataFrame) -> DataFrame:
@@ -198,7 +208,7 @@ def fact_sales_from_lines(lines: DataFrame, employees: DataFrame) -> DataFrame:
         "source_entity",
     )
     items = orders_items(lines, keep=("order_src_id",)).withColumn("product_sk", F.col("product_id"))
-    return _finish(_attach(items, heads, "order_src_id"))
+    return _finish(_attach(items, heads, "order_src_id", _HEAD))
 
 
 def dimensions(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:

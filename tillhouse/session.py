@@ -20,3 +20,15 @@ def local_session(cores: int | str = "*", memory: str = "12g", partitions: int =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+# Worth setting on a cluster. Adaptive execution and its skew rule are on by default in current Spark; they are
+# listed because hot keys rely on them. Streaming distinct keeps its keys in RocksDB instead of the heap.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
