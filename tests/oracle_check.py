@@ -26,14 +26,24 @@ def canonical(rows: list[tuple], names: list[str]) -> list[tuple]:
     return sorted(tuple("" if row[i] is None else f"={row[i]}" for i in order) for row in rows)
 
 
+_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> tuple[bool, int, str]:
     frame = query(spark, sf_dir)
     got = [tuple(row) for row in frame.collect()]
-    found = con.execute(sql)
-    names = [column[0] for column in found.description]
+    found = con.sql(sql)
+    names, types = list(found.columns), [str(t) for t in found.types]
     want = found.fetchall()
     if sorted(frame.columns) != sorted(names):
         return False, len(got), f"columns {sorted(frame.columns)} != {sorted(names)}"
+    mine = {f.name: f.dataType.simpleString() for f in frame.schema}
+    mine = {name: _TYPES.get(type_, type_.upper()) for name, type_ in mine.items()}
+    if mine != dict(zip(names, types)):
+        return False, len(got), f"types {sorted(set(mine.items()) ^ set(zip(names, types)))}"
     left, right = canonical(got, frame.columns), canonical(want, names)
     if left == right:
         return True, len(got), ""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillhouse.functions.clean import harmonize, with_audit
 from tillhouse.functions.fixed import COUNTRY_NAMES, EMPLOYEE_HISTORY_DDL, OFFLINE, OFFLINE_TABLE, ONLINE, ONLINE_TABLE
 from tillhouse.functions.keys import fk60, md5_key, sk60, xx_key
-from tillhouse.operators.cdc import scd1, scd2
+from tillhouse.operators.cdc import scd2
 from tillhouse.operators.dedup import dedup
 from tillhouse.operators.dictionary import source_dictionary
 from tillhouse.operators.lookup import lookup, lookup_leaf

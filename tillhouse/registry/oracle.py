@@ -333,7 +333,7 @@ ORACLE: dict[str, str] = {
     "fn_surrogate_key": f"""select p_partkey, {_sk('p_partkey')} as number_sk, {_sk('p_type', 'p_brand', 'p_name')} as path_sk,
  {_sk('p_type', 'case when p_size > 25 then p_brand end')} as gap_sk from part""",
     "fn_casts": """select o_orderkey, cast(substr(o_orderpriority, 1, 1) as int) as rank, try_cast(o_orderpriority as int) as no_number,
- cast(o_orderkey as decimal(18,4)) + 0.0001::decimal(18,4) as amount,
+ cast(cast(o_orderkey as decimal(18,4)) + 0.0001::decimal(18,4) as decimal(18,4)) as amount,
  cast(cast(o_orderkey as decimal(10,2)) + 0.13::decimal(10,2) as decimal(10,2)) as salary,
  null::decimal(10,2) as overflow, cast(o_orderkey as varchar) as as_text from orders""",
     "fn_to_date": """select o_orderkey, cast(o_orderdate as date) as from_timestamp, cast(o_orderdate as date) as from_text,

@@ -30,8 +30,9 @@ def dedup_stream(
     """First row per key.
 
     Without ``event_time`` every key is remembered for ever. With it, a key is remembered for ``delay`` of event
-    time, and a repeat is recognized when it comes within ``delay`` of the first. Watermarks need a zoned
-    timestamp, so a zone-free event time is read in the session zone for the watermark only.
+    time, and a repeat is recognized when it comes within ``delay`` of the first. Spark drops rows that arrive more
+    than ``delay`` behind the newest event time, so bound the state only where arrival follows event time that closely.
+    Watermarks need a zoned timestamp, so a zone-free event time is read in the session zone for the watermark only.
     """
     rows = thin(df, keys) if thinned else df
     if event_time is None:
