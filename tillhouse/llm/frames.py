@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from tillhouse.sources.storage import stored
 
-__all__ = ["components", "documents", "fresh_name", "stored", "table"]
+__all__ = ["appended", "components", "documents", "fresh_name", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +30,6 @@ def fresh_name(columns: list[str], base: str) -> str:
     return base
 
 
-def same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
-
-
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges (a, b)``: one row ``(node, root)`` per node, root the smallest node reachable.
 
@@ -62,3 +62,23 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         current = after
     found = after.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root"))
     return stored(nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")), f"{name}-done")
+
+
+def appended(
+    rows: DataFrame, carry: list[str], added: list[tuple[str, str]], start: Callable[[], Callable[[pa.RecordBatch], list]]
+) -> DataFrame:
+    """Columns ``carry`` of ``rows`` and new columns that Python computes from whole Arrow batches, without a shuffle.
+
+    ``start`` runs once per task and gives the function from a batch to the arrays of ``added`` (name, type).
+    """
+    fields = [StructField(rows.schema[c].name, rows.schema[c].dataType) for c in carry]
+    fields += [StructField(name, _parse_datatype_string(kind)) for name, kind in added]
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in carry] + work(batch), names=names)
+
+    return rows.mapInArrow(run, StructType(fields))

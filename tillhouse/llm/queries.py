@@ -4,11 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.llm import bpe, simhash
+from tillhouse.llm.decontaminate import contamination
 from tillhouse.llm.exact_dedup import exact_groups
-from tillhouse.llm.frames import documents
+from tillhouse.llm.frames import documents, table
+
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        "leak.n_words",
+        "leak.n_hit",
+        F.size("leak.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "leak.items"), 256).alias("items_sha256"),
+        (F.col("leak.n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, carry=["doc_id"], ids=False)
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,10 +45,41 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontamination": op4_decontamination,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_simhash": op10_simhash,
 }
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE: dict[str, str] = {
+    "op4_decontamination": rf"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), bw AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS body
+            FROM b, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i) WHERE len(w) > 0
+        ), dw AS (
+            SELECT doc_id, i, s.n, array_to_string(w[i : i + s.n - 1], ' ') AS body
+            FROM d, (SELECT DISTINCT n FROM bw) s, LATERAL (SELECT unnest(generate_series(1, len(w) - s.n + 1)) AS i)
+            WHERE len(w) >= s.n
+        ), hits AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.body = bw.body
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM hits, LATERAL (SELECT unnest(generate_series(i, i + n - 1)) AS p) GROUP BY doc_id
+        ), listed AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM hits GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
             doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
