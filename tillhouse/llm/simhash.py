@@ -155,10 +155,10 @@ def linked(key: np.ndarray, fp: np.ndarray) -> np.ndarray:
         return label
     a, b = np.concatenate(left), np.concatenate(right)
     while len(a):
-        low = np.minimum(label[a], label[b])
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
+        one, two = label[a], label[b]  # roots, as all labels are
+        np.minimum.at(label, np.maximum(one, two), np.minimum(one, two))
+        while (label[label] != label).any():
+            label = label[label]
         open_ = label[a] != label[b]
         a, b = a[open_], b[open_]
     return label
