@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, simhash
+from tillhouse.llm import bpe, simhash, toxicity
 from tillhouse.llm.decontaminate import contamination
 from tillhouse.llm.exact_dedup import exact_groups
 from tillhouse.llm.frames import documents, table
@@ -17,6 +17,17 @@ from tillhouse.llm.frames import documents, table
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.select(
@@ -45,6 +56,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
