@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, simhash, toxicity
+from tillhouse.llm import bpe, secret_scan, simhash, toxicity, warc
 from tillhouse.llm.decontaminate import contamination
 from tillhouse.llm.exact_dedup import exact_groups
 from tillhouse.llm.frames import documents, table
@@ -44,6 +44,32 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, carry=["doc_id"], ids=False)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths and digests of responses are taken from the payloads that were read back, of revisits from their headers."""
+    back = warc.read_archive(spark, warc.page_archive(table(spark, sf_dir, "pages")))
+    number = lambda c: F.try_to_number(F.substring_index(c, ":", -1), F.lit("9" * 19)).cast("long")
+    response = F.col("record_type") == "response"
+    return back.select(
+        number("record_id").alias("page_id"),
+        F.when(response, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(response, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_spans(documents(spark, sf_dir), carry=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -60,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_warc": op7_warc,
+    "op8_secrets": op8_secrets,
     "op10_simhash": op10_simhash,
 }
 
@@ -92,6 +120,13 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS last, strlen(body) >= 1000 AND page_id <> max(page_id) OVER (PARTITION BY body) AS again FROM p)
+        SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+            CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last END AS refers_to
+        FROM g
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
             doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
