@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, secret_scan, simhash, toxicity, warc
+from tillhouse.llm import bpe, html_text, secret_scan, simhash, toxicity, warc
 from tillhouse.llm.decontaminate import contamination
 from tillhouse.llm.exact_dedup import exact_groups
 from tillhouse.llm.frames import documents, table
@@ -70,6 +70,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extracted(pages, html_text.train(pages), carry=["page_id", "url"])
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,
+    "op9_html_extraction": op9_html_extraction,
     "op10_simhash": op10_simhash,
 }
 
