@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, html_text, secret_scan, simhash, toxicity, warc
+from tillhouse.llm import bpe, chat_quotes, html_text, secret_scan, simhash, toxicity, warc
 from tillhouse.llm.decontaminate import contamination
 from tillhouse.llm.exact_dedup import exact_groups
 from tillhouse.llm.frames import documents, table
@@ -17,6 +17,10 @@ from tillhouse.llm.frames import documents, table
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op2_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), carry=["doc_id"])
@@ -88,6 +92,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_quotes": op2_chat_quotes,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
@@ -101,6 +106,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLE: dict[str, str] = {
+    "op2_chat_quotes": r"""
+        WITH RECURSIVE m AS (SELECT *, row_number() OVER () AS id FROM conversations),
+        s AS (SELECT *, string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS lines FROM m),
+        l AS (SELECT id, conv_id, turn, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM s),
+        pre AS (SELECT *, regexp_extract(line, '^(?:[ ]{0,3}>)+[ ]?') AS prefix FROM l),
+        lev AS (SELECT *, length(prefix) - length(replace(prefix, '>', '')) AS level, substring(line, length(prefix) + 1) AS body FROM pre),
+        chg AS (SELECT *, CASE WHEN level <> lag(level) OVER (PARTITION BY id ORDER BY i) THEN 1 ELSE 0 END AS c FROM lev),
+        grp AS (SELECT *, sum(c) OVER (PARTITION BY id ORDER BY i) AS number FROM chg),
+        pas AS (SELECT id, conv_id, turn, number, level, string_agg(body, chr(10) ORDER BY i) AS body FROM grp GROUP BY ALL),
+        own AS (SELECT id, conv_id, turn, string_agg(body, chr(10) ORDER BY number) AS body FROM pas WHERE level = 0 GROUP BY ALL),
+        part AS (
+            SELECT id, conv_id, turn, number, level, unnest(string_split(body, chr(10)) ||
+                string_split(regexp_replace(body, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10))) AS body
+            FROM pas
+        ), unit AS (
+            SELECT conv_id, turn, body FROM own UNION ALL SELECT conv_id, turn, body FROM pas WHERE level = 0
+            UNION ALL SELECT conv_id, turn, body FROM part WHERE level = 0
+        ), said AS (
+            SELECT conv_id, lower(trim(regexp_replace(body, '[ \t\r\n]+', ' ', 'g'))) AS body, min(turn) AS source
+            FROM unit WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL
+        ), want AS (
+            SELECT 0 AS rank, * FROM pas WHERE level > 0 UNION ALL SELECT 1, * FROM part WHERE level > 0
+        ), met AS (
+            SELECT id, number, level, rank, source FROM want w JOIN said ON w.conv_id = said.conv_id AND source < w.turn
+                AND said.body = lower(trim(regexp_replace(w.body, '[ \t\r\n]+', ' ', 'g'))) AND said.body <> ''
+        ), best AS (
+            SELECT id, number, level, source FROM met QUALIFY row_number() OVER (PARTITION BY id, number ORDER BY rank, source DESC) = 1
+        ), answer AS (
+            SELECT id, first(source ORDER BY level, source DESC) AS parent, count(*) AS n_linked FROM best GROUP BY id
+        ), up AS (SELECT conv_id, turn, min(parent) AS parent FROM m JOIN answer USING (id) GROUP BY ALL),
+        walk AS (
+            SELECT conv_id, turn, parent AS root, 1 AS depth FROM up
+            UNION ALL SELECT w.conv_id, w.turn, u.parent, w.depth + 1 FROM walk w JOIN up u ON u.conv_id = w.conv_id AND u.turn = w.root
+        ), thread AS (SELECT conv_id, turn, first(root ORDER BY depth DESC) AS root, max(depth) AS depth FROM walk GROUP BY ALL),
+        q AS (SELECT id, count(*) FILTER (level > 0) AS n_quotes FROM pas GROUP BY id),
+        r AS (
+            SELECT m.conv_id, m.turn, m.role, regexp_replace(coalesce(own.body, ''), '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g') AS text,
+                a.parent AS parent_turn, coalesce(t.root, a.parent, m.turn) AS root_turn,
+                CASE WHEN a.parent IS NULL THEN 0 ELSE coalesce(t.depth, 0) + 1 END::BIGINT AS depth,
+                coalesce(q.n_quotes, 0)::BIGINT AS n_quotes, coalesce(a.n_linked, 0)::BIGINT AS n_linked
+            FROM m LEFT JOIN own USING (id) LEFT JOIN answer a USING (id) LEFT JOIN q USING (id)
+                LEFT JOIN thread t ON t.conv_id = m.conv_id AND t.turn = a.parent
+        )
+        SELECT *, '<|' || coalesce(role, '') || '|>' || chr(10) || text AS chat, row_number() OVER (PARTITION BY conv_id
+            ORDER BY root_turn NULLS FIRST, depth, turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS position
+        FROM r
+    """,
     "op4_decontamination": rf"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
