@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, chat_quotes, html_text, secret_scan, simhash, toxicity, warc
+from tillhouse.llm import bpe, chat_quotes, html_text, secret_scan, simhash, substrings, toxicity, warc
 from tillhouse.llm.decontaminate import contamination
 from tillhouse.llm.exact_dedup import exact_groups
 from tillhouse.llm.frames import documents, table
@@ -17,6 +17,10 @@ from tillhouse.llm.frames import documents, table
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(documents(spark, sf_dir))
+
+
 def op2_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_quotes.reply_ordered(table(spark, sf_dir, "conversations"))
 
@@ -92,6 +96,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_chat_quotes": op2_chat_quotes,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
@@ -106,6 +111,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (
+            SELECT id, doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS body
+            FROM d, LATERAL (SELECT unnest(generate_series(1, len(w) - 49)) AS i) WHERE len(w) >= 50
+        ), low AS (SELECT body, min(doc_id) AS least FROM win GROUP BY body HAVING min(doc_id) < max(doc_id)),
+        gone AS (SELECT id, i FROM win JOIN low USING (body) WHERE least < doc_id),
+        pos AS (SELECT DISTINCT id, unnest(generate_series(i, i + 49)) AS i FROM gone),
+        word AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d WHERE id IN (SELECT id FROM pos)),
+        kept AS (
+            SELECT id, string_agg(word, ' ' ORDER BY i) FILTER (pos.i IS NULL) AS body, count(pos.i) AS n
+            FROM word LEFT JOIN pos USING (id, i) GROUP BY id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+            sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(body, '') END) AS kept_sha256
+        FROM d LEFT JOIN kept USING (id)
+    """,
     "op2_chat_quotes": r"""
         WITH RECURSIVE m AS (SELECT *, row_number() OVER () AS id FROM conversations),
         s AS (SELECT *, string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS lines FROM m),

@@ -39,12 +39,7 @@ _LOWER_SPACE = np.array([32 if b in (9, 10, 11, 12, 13) else T.LOWER[b] for b in
 def shingle_bits(texts: T.Texts, size: int) -> np.ndarray:
     """Fingerprints of some texts."""
     starts, ends, first = T.words(texts, T.NOT_SPACE)
-    keep = T.NOT_SPACE[texts.data]
-    keep[ends] = True  # one separator after each word; where texts meet it belongs to the next text's first byte
-    body = _LOWER_SPACE[texts.data]
-    place = np.concatenate([[0], np.cumsum(keep)])
-    flat = body[keep].tobytes()
-    low, high = place[starts], place[ends]
+    flat, low, high = T.joined(texts, starts, ends, _LOWER_SPACE)
     counts = np.diff(first)
     n = np.maximum(counts - size + 1, np.minimum(counts, 1))
     begin = np.repeat(first[:-1], n) + _ramp(n)

@@ -75,6 +75,22 @@ def words(texts: Texts, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, ends, np.searchsorted(starts, texts.bounds)
 
 
+#: Every white-space byte as a space.
+SPACED = np.array([32 if b in (9, 10, 11, 12, 13) else b for b in range(256)], dtype=np.uint8)
+
+
+def joined(texts: Texts, starts: np.ndarray, ends: np.ndarray, mapped: np.ndarray = SPACED) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Words one space apart, end to end over all texts: the bytes, and where each word starts and ends in them.
+
+    A run of words of one text is the slice from its first start to its last end. ``mapped`` translates the bytes.
+    """
+    keep = NOT_SPACE[texts.data]
+    keep[-8:] = False
+    keep[ends] = True  # one separator after each word; where texts meet it is the next text's first byte
+    place = np.concatenate([[0], np.cumsum(keep)])
+    return mapped[texts.data][keep].tobytes(), place[starts], place[ends]
+
+
 def lanes(data: np.ndarray) -> np.ndarray:
     """The eight bytes from every offset on, as a number (a view, nothing is copied)."""
     return np.ndarray((len(data) - 7,), dtype="<u8", buffer=data.data, strides=(1,))
