@@ -145,13 +145,43 @@ def test_half_written_batch_is_invisible_and_repaired(spark, tmp_path, monkeypat
 def test_streamed_current_rows_equal_batch(spark, tmp_path):
     batches = [[("a", at(2), "A"), ("b", at(1), "B")], [("a", at(1), "old"), ("c", at(1), "C")], [("b", at(5), "B2")]]
     _files(spark, str(tmp_path / "in"), batches)
-    table = CurrentTable(str(tmp_path / "t"), ["k"], "ts", buckets=3)
+    table = CurrentTable(str(tmp_path / "t"), ["k"], "ts")
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
     merge_into(stream, table.merge, str(tmp_path / "cp"))
     everything = spark.createDataFrame([c for b in batches for c in b], SCHEMA)
     assert rows(table.read(spark).select("k", "ts", "v")) == rows(scd1(everything, ["k"], "ts").select("k", "ts", "v"))
 
 
+def test_small_batches_leave_old_files_alone_and_are_compacted(spark, tmp_path):
+    """A one-key batch writes its own rows only; compaction bounds what a read opens."""
+    table = CurrentTable(str(tmp_path / "t"), ["k"], "ts")
+    table.merge(spark.createDataFrame([(f"k{i}", at(1), "A") for i in range(500)], SCHEMA), 0)
+    before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t/log").rglob("*.parquet")}
+    for n in range(1, 6):
+        table.merge(spark.createDataFrame([("k7", at(1 + n), f"v{n}")], SCHEMA), n)
+    after = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t/log").rglob("*.parquet")}
+    assert before.items() <= after.items()
+    assert spark.read.parquet(f"{table.root}/log").filter("cdc_batch > 0").count() == 5
+    many = len(table.read(spark).inputFiles())
+    table.compact(spark, after=100)
+    assert len(table.read(spark).inputFiles()) == many
+    table.compact(spark, after=6)
+    got = table.read(spark)
+    assert len(got.inputFiles()) < many and got.count() == 500 and got.filter("k = 'k7'").first().v == "v5"
+
+
+def test_changes_that_cannot_be_placed_are_quarantined(spark, tmp_path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for make in (lambda p: HistoryTable(p, ["k"], "ts", ["v"], schema=schema), lambda p: CurrentTable(p, ["k"], "ts", schema=schema)):
+        table = make(str(tmp_path / make(str(tmp_path)).__class__.__name__))
+        assert table.read(spark).count() == table.quarantined(spark).count() == 0
+        table.merge(spark.createDataFrame([("a", at(1), "A"), (None, at(1), "B"), ("c", None, "C")], SCHEMA), 0)
+        assert table.read(spark).count() == 1
+        assert sorted(r.v for r in table.quarantined(spark).collect()) == ["B", "C"]
+    with pytest.raises(ValueError, match="schema"):
+        HistoryTable(str(tmp_path / "none"), ["k"], "ts", ["v"]).read(spark)
+
+
 def test_empty_batch_changes_nothing(spark, tmp_path):
     table = HistoryTable(str(tmp_path / "t"), ["k"], "ts", ["v"])
     table.merge(spark.createDataFrame([("a", at(1), "A")], SCHEMA), 0)

@@ -11,8 +11,18 @@ from tillhouse.functions.clean import normalize_headers
 from tillhouse.plans.lines import sales_lines
 from tillhouse.sources import fixture
 from tillhouse.sources.channels import OFFLINE_CSV, ONLINE_CSV
-from tillhouse.sources.csv_files import RESCUED, bronze, infer_schema, read_csv, read_csv_stream, split_rescued, write_csv
-from tillhouse.sources.storage import checked, publish, scratch, shared_dir, stored
+from tillhouse.sources.csv_files import (
+    RESCUED,
+    bronze,
+    bronze_schema,
+    infer_schema,
+    ingest_csv,
+    read_csv,
+    read_csv_stream,
+    split_rescued,
+    write_csv,
+)
+from tillhouse.sources.storage import checked, publish, read_table, scratch, shared_dir, stored
 from tillhouse.streaming.refresh import append_to
 
 SCHEMA = "`Order ID` BIGINT, `Sub-Category` STRING, Sales DECIMAL(18,4)"
@@ -72,7 +82,7 @@ def test_stream_ingest_equals_batch_and_takes_each_file_once(spark, tmp_path):
 def test_inferred_schema_can_be_declared_on_a_stream(spark, sf_dir, tmp_path):
     source = fixture.table(spark, sf_dir, "orders").drop("o_totalprice")
     path = write_csv(source, str(tmp_path / "orders"))
-    schema = infer_schema(spark, path, sampling_ratio=1.0)
+    schema = infer_schema(spark, path)
     assert [f.dataType.simpleString() for f in schema] == ["int", "int", "string", "timestamp", "string"]
     append_to(read_csv_stream(spark, path, schema), str(tmp_path / "out"), str(tmp_path / "cp"))
     got = spark.read.parquet(str(tmp_path / "out")).drop(RESCUED)
@@ -117,3 +127,27 @@ def test_published_table_keeps_comment_properties_and_replaces_rows(spark, tmp_p
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES probe_published").collect()}
     assert props["layer"] == "gold_star"
     assert spark.catalog.getTable("probe_published").description == "it's a probe"
+
+
+def test_columns_are_matched_by_name(spark, tmp_path):
+    """Reordered, missing and undeclared columns; a file that contradicts the header fails a positional stream."""
+    (tmp_path / "a.csv").write_text("City,Country\nRome,Italy\n")
+    (tmp_path / "b.csv").write_text("Country,Phone,City\nItaly,+34,Milan\nSpain,,Madrid\n")
+    (tmp_path / "c.csv").write_text('"city"\n"Bonn"\n')
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text("City,Country,City\nOslo,Norway,again,surplus\n")
+    schema = spark.createDataFrame([], "Country STRING, City STRING").schema
+    want = {
+        "Rome": ("Italy", None), "Milan": ("Italy", {"extra": {"Phone": "+34"}}), "Madrid": ("Spain", None), "Bonn": (None, None),
+        "Oslo": ("Norway", {"line": "Oslo,Norway,again,surplus", "empty": [], "extra": {"City": "again"}}),
+    }
+    out = str(tmp_path.parent / f"{tmp_path.name}-out")
+    for _ in range(2):  # the second run finds nothing new
+        ingest_csv(spark, str(tmp_path), schema, out, f"{out}-checkpoint", 2)
+    streamed = read_table(spark, out, bronze_schema(spark, schema))
+    for df in (read_csv(spark, str(tmp_path), schema), streamed):
+        got = {r.City: (r.Country, r[RESCUED] and json.loads(r[RESCUED])) for r in df.collect()}
+        assert got == want and df.count() == len(want)
+    assert streamed.filter("file_path is null or ingestion_datetime is null").count() == 0
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        append_to(read_csv_stream(spark, str(tmp_path / "a*.csv"), schema), f"{out}-2", f"{out}-2-checkpoint")

@@ -9,6 +9,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tillhouse.operators.cdc import current
+from tillhouse.operators.lookup import require_unique
 from tillhouse.plans import gold, silver
 from tillhouse.plans.lines import sales_lines
 from tillhouse.plans.rules import LEAF, PATH, Rules
@@ -27,6 +28,7 @@ GOLDEN = {
         customer=894, payment_methods=15, orders=8838, orders_items=36000, payment=36000, employee_history=10,
     ),
 }
+KEY = ("order_src_id",)
 FACT = {PATH: (6000, Decimal("317364757.3100")), LEAF: (216000, Decimal("11425131263.1600"))}
 
 
@@ -128,7 +130,7 @@ def test_an_order_with_a_third_of_all_lines_is_split(spark, sf_dir):
         headers = silver.orders(silver.order_headers(lines))
         for fact in (
             gold.fact_sales_from_lines(lines, employees),
-            gold.fact_sales(silver.orders_items(lines), headers, silver.payment(lines), employees),
+            gold.fact_sales(silver.orders_items(lines, KEY), headers, silver.payment(lines, KEY), employees),
         ):
             assert len(fact.collect()) == 6000
             assert "skew=true" in plan(fact)
@@ -174,3 +176,58 @@ def test_pipeline_end_to_end_in_two_refreshes(spark, sf_dir, tmp_path):
     star = house.refresh()
     assert star["fact_sales"].count() == 6000 and star["dim_date"].count() == 2405
     assert {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gold.fact_sales").collect()}["layer"] == "gold_star"
+    named = {"bronze": ["online_bronze", "offline_bronze"], "silver": ["orders", "orders_items", "payment"]}
+    for layer, names in named.items():
+        for name in names:
+            described = spark.catalog.getTable(f"{layer}.{name}").description
+            properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {layer}.{name}").collect()}
+            assert described and properties["quality"] == layer, name
+    assert spark.sql("SELECT count(*) FROM bronze.online_bronze").first()[0] == online.count()
+    assert spark.sql("SELECT count(DISTINCT order_src_id) FROM silver.orders").first()[0] == 1473
+    assert spark.sql("SELECT count(*) FROM silver.payment").first()[0] == 6000
+    assert house.rescued().count() == 0
+
+
+def test_equal_64_bit_order_ids_do_not_multiply_lines(spark, lines):
+    """All orders get one of ten ids: the fact still has a row per line, and every order its own payment."""
+    tables = silver.silver(lines)
+    forged = F.pmod(F.xxhash64("order_src_id"), F.lit(10))
+    clashing = {n: df.withColumn("order_id", forged) if n in ("orders", "orders_items", "payment") else df for n, df in tables.items()}
+    dims = gold.dimensions(tables)
+    want = rows(gold.fact(tables, dims))
+    assert len(want) == 6000
+    assert rows(gold.fact(clashing, dims)) == want and rows(gold.fact(clashing, dims, joined=True)) == want
+
+
+def test_dimensions_with_colliding_keys_are_refused(spark):
+    dim = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (1, "d")], "customer_sk bigint, name string")
+    require_unique(dim.filter("name <> 'd'"), "customer_sk")
+    with pytest.raises(ValueError, match="customer_sk 1 names 2 rows"):
+        require_unique(dim, "customer_sk")
+
+
+def test_one_empty_channel_and_inferred_types(spark, sf_dir, tmp_path):
+    online, _ = _channels(spark, sf_dir)
+    (tmp_path / "offline").mkdir()
+    landing = _landing(online, ONLINE_CSV, "landing-one", 2)
+    house = Warehouse(spark, landing, str(tmp_path / "offline"), str(tmp_path / "house"), online_schema=None)
+    star = house.refresh()
+    assert star["fact_sales"].count() == online.count() and star["dim_store"].count() == star["dim_employee"].count() == 0
+    assert star["fact_sales"].filter("customer_sk is null or payment_amount is null or order_date_sk is null").count() == 0
+
+
+def test_late_header_reaches_the_fact(spark, sf_dir, tmp_path):
+    """The newer half of the lines first, then the older: no line is left without its head."""
+    online, offline = _channels(spark, sf_dir)
+    for step, when in enumerate((">=", "<")):
+        for df, schema, name, date in ((online, ONLINE_CSV, "online", "Order_Date"), (offline, OFFLINE_CSV, "offline", "Order_date")):
+            part = df.filter(f"{date} {when} '1995-06-01'")
+            frame = spark.read.schema(schema).option("header", True).csv(_landing(part, schema, f"late-{name}-{step}", 1))
+            frame.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).mode("append").csv(
+                str(tmp_path / name)
+            )
+        house = Warehouse(spark, str(tmp_path / "online"), str(tmp_path / "offline"), str(tmp_path / "house"))
+        house.ingest()
+        house.stream_facts()
+    items = spark.read.parquet(house.path("silver", "orders_items"))
+    assert items.count() == 6000 and items.join(house.orders(), "order_src_id", "left_anti").count() == 0

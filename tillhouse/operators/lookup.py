@@ -17,6 +17,13 @@ def unique_by(dim: DataFrame, on: list[str], take: list[str]) -> DataFrame:
     return found.select(*on, row.alias("_row")).select(*on, *[F.col("_row")[c].alias(c) for c in take])
 
 
+def require_unique(dim: DataFrame, key: str) -> None:
+    """Fails with an example if two rows of a stored dimension share a key, as two hashes of different things might."""
+    twice = dim.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"{key} {twice[0]} names {twice[1]} rows")
+
+
 def join_key(*cols: Column | str) -> Column:
     """One text for several columns, different for different values; NULL when one of them is NULL."""
     texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]

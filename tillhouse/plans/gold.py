@@ -84,12 +84,16 @@ def dim_date(orders: DataFrame) -> DataFrame:
 def payment_per_order(payment: DataFrame) -> DataFrame:
     """First payment of each order by payment id; amount, then method, break ties.
 
+    Orders are told apart by ``order_src_id``, the full hash, where the payments carry it; two orders whose 64-bit ids
+    collide then keep a payment each.
+
     ``payment_amount`` is one line's amount, so it must not be summed over the lines of an order; see
     :func:`order_total` for that.
     """
-    known = payment.filter(F.col("order_id").isNotNull())
+    key = "order_src_id" if "order_src_id" in payment.columns else "order_id"
+    known = payment.filter(F.col(key).isNotNull())
     order = [F.asc("payment_id"), F.asc("payment_amount"), F.asc("method_id")]
-    return top1(known, ["order_id"], order).select("order_id", "method_id", "payment_amount")
+    return top1(known, [key], order).select(key, "method_id", "payment_amount")
 
 
 def order_total(payment: DataFrame) -> DataFrame:
@@ -144,10 +148,10 @@ def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employee
     """The fact from stored silver tables.
 
     Order and line already carry the surrogates of every dimension but the employee version, so only
-    ``dim_employee`` is joined, and that to the order heads. The lines are shuffled once.
+    ``dim_employee`` is joined, and that to the order heads. The lines are shuffled once. Lines and payments carry
+    ``order_src_id`` beside their own columns and are joined on it; the 64-bit ``order_id`` is no join key.
     """
-    heads = _with_employee(orders.join(payment_per_order(payment), on="order_id", how="left"), employees).select(
-        "order_id",
+    heads = _with_employee(orders.join(payment_per_order(payment), on="order_src_id", how="left"), employees).select(
         "order_src_id",
         F.col("customer_id").alias("customer_sk"),
         F.col("store_id").alias("store_sk"),
@@ -158,7 +162,7 @@ def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employee
         "source_system",
         "source_entity",
     )
-    rows = _attach(items, heads, "order_id", ["order_src_id", *_HEAD])
+    rows = _attach(items, heads, "order_src_id", _HEAD)
     return _finish(rows.withColumn("product_sk", F.col("product_id")))
 
 
@@ -170,7 +174,7 @@ def fact_sales_joined(
     ``dims``: ``customer employee store product payment_method date``. What hangs on the order is joined to the order
     heads, a fraction of the lines; the lines meet only the heads and the product dimension.
     """
-    heads = orders.join(payment_per_order(payment), on="order_id", how="left").withColumn(
+    heads = orders.join(payment_per_order(payment), on="order_src_id", how="left").withColumn(
         "full_date", safe_date("order_date")
     )
     heads = _with_employee(heads, dims["employee"])
@@ -182,21 +186,26 @@ def fact_sales_joined(
         (dates, "full_date", "order_date_sk"),
     ]:
         heads = lookup(heads, dim, key, [surrogate], unique=True, spread_by=["order_src_id"])
-    rows = _attach(items, heads, "order_id", ["order_src_id", *_HEAD])
+    rows = _attach(items, heads, "order_src_id", _HEAD)
     return _finish(
         lookup(rows, dims["product"], "product_id", ["product_sk"], unique=True, spread_by=["order_item_id", *_MEASURES])
     )
 
 
-def fact_sales_from_lines(lines: DataFrame, employees: DataFrame) -> DataFrame:
+def fact_sales_from_lines(lines: DataFrame, employees: DataFrame | None) -> DataFrame:
     """The same under the path rules straight from the lines.
 
     One aggregation folds header and first payment of each order out of the lines, one join brings them back.
-    ``employees`` is ``dim_employee``.
+    ``employees`` is ``dim_employee``; without it the fact has no employees.
     """
     first = F.min(F.struct("payment_id", "payment_amount", "method_id")).alias("_first")
     paid = payment_keys(lines).withColumn("method_id", fk60(*METHOD_KEY, required=2))
-    heads = _with_employee(orders(order_headers(paid, first), keep=("_first",)), employees).select(
+    headers = orders(order_headers(paid, first), keep=("_first",))
+    if employees is None:
+        headers = headers.withColumn("employee_sk", F.lit(None).cast("bigint"))
+    else:
+        headers = _with_employee(headers, employees)
+    heads = headers.select(
         "order_src_id",
         F.col("customer_id").alias("customer_sk"),
         F.col("store_id").alias("store_sk"),

@@ -17,7 +17,7 @@ from tillhouse.functions.keys import fk60, md5_key, sk60, xx_key
 from tillhouse.operators.cdc import scd2
 from tillhouse.operators.dedup import dedup
 from tillhouse.operators.dictionary import source_dictionary
-from tillhouse.operators.lookup import lookup, lookup_leaf
+from tillhouse.operators.lookup import join_key, lookup, lookup_leaf, spread_nulls
 from tillhouse.plans.lines import HEADER, channel
 from tillhouse.plans.rules import PATH, Rules
 from tillhouse.sources.storage import checked
@@ -250,12 +250,22 @@ def orders(headers: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def orders_joined(headers: DataFrame, customer: DataFrame, store: DataFrame) -> DataFrame:
-    """Order table that looks its customer and shop up by their source keys, batch or stream."""
-    buyers = customer.select("customer_id", F.trim("email").alias("email"))
-    shops = store.select("store_id", "store_src_id")
+    """Order table that looks its customer and shop up by their source keys, batch or stream.
+
+    Offline orders have no email and online orders no shop, half of all rows each; they are scattered over dead keys
+    instead of meeting in one task. Several customers or shops of one key give a row each, as the literal rules have it.
+    """
+    buyers = customer.select("customer_id", join_key(F.trim("email")).alias("_buyer")).filter("_buyer is not null")
+    shops = store.select("store_id", join_key("store_src_id").alias("_shop")).filter("_shop is not null")
+    keyed = headers.withColumns(
+        {
+            "_buyer": spread_nulls(join_key("email"), "source_system", "order_src_id_raw"),
+            "_shop": spread_nulls(join_key("store_src_id"), "source_system", "order_src_id_raw"),
+        }
+    )
     return (
-        headers.join(buyers, on="email", how="left")
-        .join(shops, on="store_src_id", how="left")
+        keyed.join(buyers, on="_buyer", how="left")
+        .join(shops, on="_shop", how="left")
         .withColumn("order_id", xx_key("order_src_id", "source_system"))
         .select(*_ORDER_COLUMNS)
     )
@@ -278,7 +288,9 @@ def orders_items(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return lines.withColumns(ids).select(*_ITEM_COLUMNS, *keep)
 
 
-def orders_items_joined(lines: DataFrame, product: DataFrame, orders: DataFrame, on: list[str]) -> DataFrame:
+def orders_items_joined(
+    lines: DataFrame, product: DataFrame, orders: DataFrame, on: list[str], keep: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per line and matching order, product looked up by ``on``, batch or stream.
 
     ``product`` must be unique on ``on``; use ``dedup`` before a lookup by name alone.
@@ -287,7 +299,7 @@ def orders_items_joined(lines: DataFrame, product: DataFrame, orders: DataFrame,
         lines.join(product.select("product_id", *on), on=on, how="left")
         .join(orders.select("order_id", "order_src_id"), on="order_src_id", how="left")
         .withColumn("order_item_id", _item_id())
-        .select(*_ITEM_COLUMNS)
+        .select(*_ITEM_COLUMNS, *keep)
     )
 
 
@@ -307,11 +319,13 @@ def payment(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return payment_keys(lines).withColumns(ids).select(*_PAYMENT_COLUMNS, *keep)
 
 
-def payment_joined(lines: DataFrame, methods: DataFrame, orders: DataFrame) -> DataFrame:
+def payment_joined(
+    lines: DataFrame, methods: DataFrame, orders: DataFrame, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per line and matching order, method looked up by both its names, batch or stream."""
     keyed = lookup(payment_keys(lines), methods, list(METHOD_KEY), ["method_id"], unique=True)
     return keyed.join(orders.select("order_id", "order_src_id"), on="order_src_id", how="left").select(
-        *_PAYMENT_COLUMNS
+        *_PAYMENT_COLUMNS, *keep
     )
 
 
@@ -332,13 +346,13 @@ def silver(lines: DataFrame, rules: Rules = PATH) -> dict[str, DataFrame]:
     headers = order_headers(lines)
     if rules.by_path:
         tables["orders"] = orders(headers)
-        tables["orders_items"] = orders_items(lines)
-        tables["payment"] = payment(lines)
+        tables["orders_items"] = orders_items(lines, ("order_src_id",))
+        tables["payment"] = payment(lines, ("order_src_id",))
     else:
         by_name = dedup(tables["products"].select("product_name", "product_id"), ["product_name"])
         tables["orders"] = orders_joined(headers, tables["customer"], tables["store"])
-        tables["orders_items"] = orders_items_joined(lines, by_name, tables["orders"], ["product_name"])
-        tables["payment"] = payment_joined(lines, tables["payment_methods"], tables["orders"])
+        tables["orders_items"] = orders_items_joined(lines, by_name, tables["orders"], ["product_name"], ("order_src_id",))
+        tables["payment"] = payment_joined(lines, tables["payment_methods"], tables["orders"], ("order_src_id",))
     tables = {name: with_audit(df) for name, df in tables.items()}
     tables["employee_history"] = employee_history(employee_versions(employee_changes(lines)))
     return tables

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillhouse.functions.clean import with_audit
@@ -16,6 +18,7 @@ from tillhouse.functions.fixed import (
     TABLE_PROPERTIES,
 )
 from tillhouse.operators.dictionary import source_dictionary
+from tillhouse.operators.lookup import require_unique
 from tillhouse.plans.gold import audited, dimensions, fact
 from tillhouse.plans.lines import HEADER, sales_lines
 from tillhouse.plans.silver import (
@@ -36,15 +39,20 @@ from tillhouse.plans.silver import (
     store,
 )
 from tillhouse.sources.channels import OFFLINE_CSV, ONLINE_CSV
-from tillhouse.sources.csv_files import bronze, read_csv_stream
-from tillhouse.sources.storage import publish, read_table_stream, stored
+from tillhouse.sources.csv_files import RESCUED, bronze_schema, infer_schema, ingest_csv, zone_free
+from tillhouse.sources.storage import exists, name_folder, publish, read_table, read_table_stream, stored
 from tillhouse.streaming.cdc import HistoryTable
-from tillhouse.streaming.dedup import dedup_stream
+from tillhouse.streaming.headers import HeaderTable
 from tillhouse.streaming.refresh import append_to, merge_into
 
 PRODUCT_TABLES = ["categories", "sub_categories", "products"]
 DIMENSIONS = ["customer", "employee", "store", "product", "payment_method", "date"]
 COMMENTS = {
+    ONLINE_TABLE: "Sales lines of the online shop as they arrived",
+    OFFLINE_TABLE: "Sales lines of the physical shops as they arrived",
+    "orders": "Order headers of both channels",
+    "orders_items": "Order lines of both channels",
+    "payment": "Payments of both channels, one per line",
     "categories": "Product categories of both channels",
     "sub_categories": "Product sub-categories of both channels",
     "products": "Products of both channels",
@@ -58,7 +66,18 @@ COMMENTS = {
     "dim_date": "Days between the first and the last order",
     "fact_sales": "Sales, one row per order line",
 }
-STREAMED = ["orders", "orders_items", "payment"]
+STREAMED = ["orders_items", "payment"]
+#: Batches of changes after which a refresh folds their log.
+COMPACT_AFTER = 32
+#: Columns that must name one row of a dimension.
+UNIQUE_KEYS = {
+    "customer": "customer_sk", "employee": "employee_sk", "store": "store_sk", "product": "product_sk",
+    "payment_method": "payment_method_sk", "date": "date_sk",
+}
+
+
+#: Line columns kept in the streamed facts, so that they are joined on the full order hash, never on a 64-bit one.
+_FULL_KEY = ("order_src_id",)
 
 
 @dataclass(frozen=True)
@@ -67,15 +86,17 @@ class Warehouse:
 
     Calling :meth:`refresh` again takes in what is new (triggered refresh). A full refresh is a new ``root``: all
     input is read again and the named tables move over to it.
+
+    A channel whose schema is None gets the types inferred from all files of its first intake; they are kept with the
+    warehouse, and what contradicts them later is rescued.
     """
 
     spark: SparkSession
     online_dir: str
     offline_dir: str
     root: str
-    online_schema: StructType = ONLINE_CSV
-    offline_schema: StructType = OFFLINE_CSV
-    dedup_delay: str | None = None
+    online_schema: StructType | None = ONLINE_CSV
+    offline_schema: StructType | None = OFFLINE_CSV
     online_files: int = ONLINE_FILES_PER_TRIGGER
     offline_files: int = OFFLINE_FILES_PER_TRIGGER
 
@@ -85,17 +106,30 @@ class Warehouse:
     def _checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def _schema(self, table: str) -> StructType:
+        """Declared columns of a channel, or the inferred ones."""
+        declared = self.online_schema if table == ONLINE_TABLE else self.offline_schema
+        if declared is not None:
+            return declared
+        kept = f"{self.root}/schemas/{table}"
+        if not exists(self.spark, f"{kept}/_SUCCESS"):
+            inferred = zone_free(infer_schema(self.spark, self.online_dir if table == ONLINE_TABLE else self.offline_dir))
+            self.spark.createDataFrame([(inferred.json(),)], "value string").coalesce(1).write.mode("overwrite").text(kept)
+        return StructType.fromJson(json.loads(self.spark.read.text(kept).first()[0]))
+
     def ingest(self) -> None:
         """Landing files to bronze, each file once."""
-        for table, folder, schema, files in [
-            (ONLINE_TABLE, self.online_dir, self.online_schema, self.online_files),
-            (OFFLINE_TABLE, self.offline_dir, self.offline_schema, self.offline_files),
+        for table, folder, files in [
+            (ONLINE_TABLE, self.online_dir, self.online_files),
+            (OFFLINE_TABLE, self.offline_dir, self.offline_files),
         ]:
-            rows = bronze(read_csv_stream(self.spark, folder, schema, files))
-            append_to(rows, self.path("bronze", table), self._checkpoint(table))
+            ingest_csv(self.spark, folder, self._schema(table), self.path("bronze", table), self._checkpoint(table), files)
+
+    def _bronze_schema(self, table: str) -> StructType:
+        return bronze_schema(self.spark, self._schema(table))
 
     def _bronze(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("bronze", table))
+        return read_table(self.spark, self.path("bronze", table), self._bronze_schema(table))
 
     def lines(self) -> DataFrame:
         """Snapshot of all lines taken in so far."""
@@ -104,32 +138,38 @@ class Warehouse:
     def line_stream(self) -> DataFrame:
         """All lines as a stream."""
         streams = [
-            read_table_stream(self.spark, self.path("bronze", table), self._bronze(table).schema)
+            read_table_stream(self.spark, self.path("bronze", table), self._bronze_schema(table))
             for table in (ONLINE_TABLE, OFFLINE_TABLE)
         ]
         return sales_lines(*streams)
 
+    def rescued(self) -> DataFrame:
+        """Lines of both channels that did not fit, with what was rescued of them: table, file_path, _rescued_data."""
+        kept = [self._bronze(t).select(F.lit(t).alias("table"), "file_path", RESCUED) for t in (ONLINE_TABLE, OFFLINE_TABLE)]
+        return kept[0].unionByName(kept[1]).filter(F.col(RESCUED).isNotNull())
+
+    def headers(self) -> HeaderTable:
+        return HeaderTable(self.path("silver", "order_headers"), schema=self.lines().select(*HEADER).schema)
+
     def history(self) -> HistoryTable:
-        return HistoryTable(self.path("silver", "employee_changes"), EMPLOYEE_KEYS, "update_dt", EMPLOYEE_TRACK)
+        changes = employee_changes(self.lines()).schema
+        return HistoryTable(self.path("silver", "employee_changes"), EMPLOYEE_KEYS, "update_dt", EMPLOYEE_TRACK, schema=changes)
 
     def stream_facts(self) -> None:
         """New lines to orders, order items, payments and employee history."""
-        event_time = "order_date" if self.dedup_delay else None
-        headers = dedup_stream(
-            self.line_stream().select(*HEADER),
-            ["source_system", "order_src_id_raw"],
-            event_time,
-            self.dedup_delay,
-            thinned=True,
-        )
-        frames = {
-            "orders": orders(headers),
-            "orders_items": orders_items(self.line_stream()),
-            "payment": payment(self.line_stream()),
-        }
-        for name, df in frames.items():
-            append_to(with_audit(df), self.path("silver", name), self._checkpoint(name))
+        for name, df in self._streamed(self.line_stream()).items():
+            append_to(df, self.path("silver", name), self._checkpoint(name))
+        merge_into(self.line_stream().select(*HEADER), self.headers().merge, self._checkpoint("orders"))
         merge_into(employee_changes(self.line_stream()), self.history().merge, self._checkpoint("employee_history"))
+        for table in (self.headers(), self.history()):
+            table.compact(self.spark, COMPACT_AFTER)
+
+    def _streamed(self, lines: DataFrame) -> dict[str, DataFrame]:
+        return {"orders_items": with_audit(orders_items(lines, _FULL_KEY)), "payment": with_audit(payment(lines, _FULL_KEY))}
+
+    def orders(self) -> DataFrame:
+        """Orders of all lines taken in so far."""
+        return orders(self.headers().read(self.spark))
 
     def dictionaries(self) -> dict[str, DataFrame]:
         """Silver tables that are rebuilt from the snapshot.
@@ -160,9 +200,16 @@ class Warehouse:
 
     def silver(self) -> dict[str, DataFrame]:
         """All silver tables as stored."""
-        names = [*PRODUCT_TABLES, *GEOGRAPHY_LEVELS, "store", "customer", "payment_methods", "employee_history"]
-        tables = {name: self.spark.read.table(f"silver.{name}") for name in names}
-        return tables | {name: self.spark.read.parquet(self.path("silver", name)) for name in STREAMED}
+        names = [*PRODUCT_TABLES, *GEOGRAPHY_LEVELS, "store", "customer", "payment_methods", "employee_history", "orders"]
+        return {name: self.spark.read.table(f"silver.{name}") for name in [*names, *STREAMED]}
+
+    def _name_streamed(self) -> None:
+        """Names, comments and properties of the tables that streams append to."""
+        lines = self.lines()
+        schemas = {("bronze", t): self._bronze_schema(t) for t in (ONLINE_TABLE, OFFLINE_TABLE)}
+        schemas |= {("silver", name): df.schema for name, df in self._streamed(lines).items()}
+        for (layer, name), schema in schemas.items():
+            name_folder(self.spark, f"{layer}.{name}", self.path(layer, name), schema, COMMENTS[name], TABLE_PROPERTIES[layer])
 
     def refresh(self) -> dict[str, DataFrame]:
         """Take in new files and bring every table up to date. Returns the gold tables."""
@@ -170,12 +217,15 @@ class Warehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
         self.ingest()
         self.stream_facts()
+        self._name_streamed()
         for name, df in self.dictionaries().items():
             self._publish("silver", name, with_audit(df))
         self._publish("silver", "employee_history", self.employee_history())
+        self._publish("silver", "orders", with_audit(self.orders()), balanced=False)
         tables = self.silver()
         for name, df in dimensions(tables).items():
             self._publish("gold", f"dim_{name}", audited(name, df))
+            require_unique(self.spark.read.table(f"gold.dim_{name}"), UNIQUE_KEYS[name])
         dims = {name: self.spark.read.table(f"gold.dim_{name}") for name in DIMENSIONS}
         self._publish("gold", "fact_sales", with_audit(fact(tables, dims)), balanced=False)
         return {name: self.spark.read.table(f"gold.{name}") for name in [*(f"dim_{d}" for d in DIMENSIONS), "fact_sales"]}

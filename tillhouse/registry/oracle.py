@@ -282,8 +282,11 @@ ORACLE: dict[str, str] = {
  count(*) filter (l_returnflag <> 'R') as n_quantities, count(*) filter (l_returnflag = 'R') as n_rescued
  from lineitem group by l_returnflag""",
     "csv_rescue_quarantine": """select o_orderkey, o_orderstatus, o_orderpriority,
- case when o_orderstatus = 'P' then '{"line":"' || o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority
- || ',late","empty":[]}' end as _rescued_data, case when o_orderstatus = 'P' then 'quarantine' else 'good' end as kind from orders""",
+ case when o_orderstatus = 'P' then '{"extra":{"note":"late"}}' end as _rescued_data,
+ case when o_orderstatus = 'P' then 'quarantine' else 'good' end as kind from orders""",
+    "csv_header_order": """select o_orderkey, case when o_orderstatus <> 'P' then o_orderstatus end as o_orderstatus,
+ o_orderpriority, case when o_orderstatus = 'F' then '{"extra":{"note":"x"}}' end as _rescued_data, mode
+ from orders, (values ('batch'), ('stream')) m(mode)""",
     "csv_infer_schema": " union all ".join(
         f"select '{name}' as name, '{type_}' as type, count({name}) as n from customer"
         for name, type_ in [
@@ -429,6 +432,16 @@ ORACLE: dict[str, str] = {
     "scd2_events_stream": EVENTS_HISTORY,
     "stream_union": _with({}, "select source_system, order_src_id_raw, payment_id_raw, sales from lines"),
     "stream_dedup": _with({}, "select distinct source_system, order_src_id_raw, order_date from lines"),
+    "stream_orders_fold": _with({}, """select source_system, order_src_id_raw, head.order_date as order_date, head.email as email,
+ cast(head.store_src_id as varchar) as store_src_id from (
+ select source_system, order_src_id_raw, min({'order_date': order_date - to_days(cast(cast(payment_id_raw as bigint) % 5 as int)),
+ 'email': email, 'store_src_id': store_src_id + cast(payment_id_raw as bigint) % 3 + 9007199254740993}) as head
+ from lines group by source_system, order_src_id_raw)"""),
+    "scd_quarantine": """with e as (select event_id, case when event_id % 97 <> 0 then user_id end as user_id,
+ case when event_id % 89 <> 0 then ts end as ts, event_type from events)
+ select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id, event_type, 'quarantine' as kind from e
+ where user_id is null or ts is null
+ union all select null, cast(user_id as varchar), max(event_type), 'log' from e where user_id is not null and ts is not null group by user_id, ts""",
     "stream_dedup_watermark": "select distinct user_id from events",
     "stream_static_orders": _with({}, _text_keys(ORDERS, *_ORDER_KEYS)),
     "stream_static_items": _with({}, ITEMS),

@@ -27,17 +27,20 @@ from tillhouse.sources.channels import OFFLINE_CSV, ONLINE_CSV
 from tillhouse.sources.csv_files import (
     RESCUED,
     bronze,
+    bronze_schema,
     infer_schema,
+    ingest_csv,
     read_csv,
     read_csv_stream,
     split_rescued,
     with_lineage,
     write_csv,
 )
-from tillhouse.sources.storage import publish, read_table_stream, scratch, stored
+from tillhouse.sources.storage import publish, read_table, read_table_stream, scratch, stored
 from tillhouse.streaming.cdc import CurrentTable, HistoryTable
 from tillhouse.streaming.dedup import dedup_stream
 from tillhouse.streaming.enrich import enrich_stream
+from tillhouse.streaming.headers import HeaderTable
 from tillhouse.streaming.refresh import append_to, merge_into
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +93,13 @@ def _through_stream(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _ingested(spark: SparkSession, folder: str, schema: StructType, max_files: int) -> DataFrame:
+    """Bronze rows of a landing folder, taken in as a stream."""
+    out = scratch(spark, "ingested")
+    ingest_csv(spark, folder, schema, out, scratch(spark, "ingested-checkpoint"), max_files)
+    return read_table(spark, out, bronze_schema(spark, schema))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.table(spark, sf_dir, "events")
 
@@ -131,15 +141,26 @@ def _text_keys(df: DataFrame, *names: str) -> DataFrame:
 @query
 def bronze_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landing(fixture.online(spark, sf_dir), ONLINE_CSV, "landing-online")
-    rows = _through_stream(bronze(read_csv_stream(spark, path, ONLINE_CSV, 1000)), "online")
-    return rows.drop(RESCUED, "file_path", "ingestion_datetime")
+    return _ingested(spark, path, ONLINE_CSV, 1000).drop(RESCUED, "file_path", "ingestion_datetime")
 
 
 @query
 def bronze_offline(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landing(fixture.offline(spark, sf_dir), OFFLINE_CSV, "landing-offline")
-    rows = _through_stream(bronze(read_csv_stream(spark, path, OFFLINE_CSV, 100)), "offline")
-    return rows.drop(RESCUED, "file_path", "ingestion_datetime")
+    return _ingested(spark, path, OFFLINE_CSV, 100).drop(RESCUED, "file_path", "ingestion_datetime")
+
+
+@query
+def csv_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with columns in another order, missing and undeclared, read by name; as a batch and as a stream."""
+    rows = fixture.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = scratch(spark, "header-order")
+    write_csv(rows.filter("o_orderstatus = 'O'").select("o_orderpriority", "o_orderkey", "o_orderstatus"), f"{path}/a")
+    write_csv(rows.filter("o_orderstatus = 'F'").select(F.lit("x").alias("note"), "*"), f"{path}/b")
+    write_csv(rows.filter("o_orderstatus = 'P'").select("o_orderpriority", "o_orderkey"), f"{path}/c")
+    batch = read_csv(spark, path, rows.schema)
+    streamed = _ingested(spark, path, rows.schema, 2).select(*batch.columns)
+    return batch.withColumn("mode", F.lit("batch")).unionByName(streamed.withColumn("mode", F.lit("stream")))
 
 
 @query
@@ -187,7 +208,7 @@ def csv_rescue_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inferred types per column, with the values read under them."""
     path = write_csv(fixture.table(spark, sf_dir, "customer"), scratch(spark, "infer"))
-    schema = infer_schema(spark, path, sampling_ratio=1.0)
+    schema = infer_schema(spark, path)
     rows = read_csv(spark, path, schema).drop(RESCUED)
     counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
     described = [
@@ -623,7 +644,8 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_star(lines: DataFrame) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Silver facts as frames and all six dimensions as stored tables."""
     headers = stored(silver.orders(silver.order_headers(lines)), "orders")
-    facts = {"orders_items": silver.orders_items(lines), "orders": headers, "payment": silver.payment(lines)}
+    key = ("order_src_id",)
+    facts = {"orders_items": silver.orders_items(lines, key), "orders": headers, "payment": silver.payment(lines, key)}
     goods, places = _goods(lines), _flat_places(lines)
     dims = {
         "customer": gold.dim_customer(silver.customer(lines), places),
@@ -649,7 +671,10 @@ def fact_sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
     headers = silver.orders(silver.order_headers(lines))
     fact = gold.fact_sales(
-        silver.orders_items(lines), headers, silver.payment(lines), stored(_employees(lines), "employees")
+        silver.orders_items(lines, ("order_src_id",)),
+        headers,
+        silver.payment(lines, ("order_src_id",)),
+        stored(_employees(lines), "employees"),
     )
     return _text_keys(fact, *_FACT_KEYS)
 
@@ -666,7 +691,7 @@ def sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date": gold.dim_date(lines.select("order_date")),
     }
     dims = {name: stored(df, f"dim-{name}") for name, df in dims.items()}
-    fact = gold.fact_sales_from_lines(lines, stored(_employees(lines), "employees"))
+    fact = gold.fact_sales_from_lines(lines, None)  # the report names no employee
     return eda.sales_by_year_country_category(fact, dims)
 
 
@@ -721,11 +746,30 @@ def scd1_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "event-files")
     rows = _events(spark, sf_dir).select("user_id", "ts", "event_type", "event_id")
     rows.repartition(3, "event_type", "ts").write.parquet(path)
-    table = CurrentTable(scratch(spark, "event-current"), ["user_id"], "ts", buckets=8)
+    table = CurrentTable(scratch(spark, "event-current"), ["user_id"], "ts")
     merge_into(read_table_stream(spark, path, rows.schema, 1), table.merge, scratch(spark, "event-checkpoint"))
     return table.read(spark)
 
 
+@query
+def scd_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes without key or sequence are kept apart; the history is built of the others."""
+    path = scratch(spark, "event-files")
+    keyless = F.pmod("event_id", F.lit(97)) == 0
+    timeless = F.pmod("event_id", F.lit(89)) == 0
+    rows = _events(spark, sf_dir).select(
+        "event_id", F.when(~keyless, F.col("user_id")).alias("user_id"), F.when(~timeless, F.col("ts")).alias("ts"), "event_type"
+    )
+    rows.repartition(2, "event_type", "event_id").write.parquet(path)
+    table = HistoryTable(scratch(spark, "event-history"), ["user_id"], "ts", ["event_type"], schema=rows.schema)
+    merge_into(read_table_stream(spark, path, rows.schema, 1), table.merge, scratch(spark, "event-checkpoint"))
+    bad = table.quarantined(spark).select("event_id", "user_id", "event_type", F.lit("quarantine").alias("kind"))
+    good = table.log(spark).select(
+        F.lit(None).cast("bigint").alias("event_id"), "user_id", "event_type", F.lit("log").alias("kind")
+    )
+    return _text_keys(bad.unionByName(good), "event_id", "user_id")
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -740,11 +784,25 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = dedup_stream(
         _bronze_streams(spark, sf_dir).select("source_system", "order_src_id_raw", "order_date"),
         ["source_system", "order_src_id_raw"],
-        thinned=True,
     )
     return _through_stream(headers, "dedup")
 
 
+@query
+def stream_orders_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of orders whose lines differ in date and shop, folded from files in an order unrelated to time."""
+    day = F.pmod(F.col("payment_id_raw").cast("bigint"), F.lit(5)).cast("int")
+    shop = F.col("store_src_id") + F.pmod(F.col("payment_id_raw").cast("bigint"), F.lit(3)) + F.lit(9007199254740993)
+    rows = _lines(spark, sf_dir).withColumns({"order_date": F.col("order_date") - F.make_dt_interval(day), "store_src_id": shop})
+    path = scratch(spark, "shuffled-lines")
+    rows.select(*HEADER).repartition(3, "order_date").write.parquet(path)
+    schema = rows.select(*HEADER).schema
+    table = HeaderTable(scratch(spark, "headers"), schema=schema)
+    merge_into(read_table_stream(spark, path, schema, 1), table.merge, scratch(spark, "headers-checkpoint"))
+    folded = table.read(spark).select("source_system", "order_src_id_raw", "order_date", "email", "store_src_id")
+    return _text_keys(folded, "store_src_id")
+
+
 @query
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch: every user once. Several batches are tested on edge rows."""
@@ -756,9 +814,7 @@ def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_static_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
     buyers, shops = stored(silver.customer(lines), "customer"), stored(silver.store(lines), "store")
-    headers = dedup_stream(
-        _bronze_streams(spark, sf_dir).select(*HEADER), ["source_system", "order_src_id_raw"], thinned=True
-    )
+    headers = dedup_stream(_bronze_streams(spark, sf_dir).select(*HEADER), ["source_system", "order_src_id_raw"])
     return _text_keys(_through_stream(silver.orders_joined(headers, buyers, shops), "orders"), *_ORDER_KEYS)
 
 
@@ -788,28 +844,35 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = stored(silver.customer(lines), "customer")
     rows = _bronze_streams(spark, sf_dir).select("source_system", "payment_id_raw", "email", "sales", *silver.METHOD_KEY)
     wide = enrich_stream(
-        rows, [(methods, list(silver.METHOD_KEY), ["method_id"]), (buyers, "email", ["customer_id", "age"])]
+        rows,
+        [(methods, list(silver.METHOD_KEY), ["method_id"]), (buyers, "email", ["customer_id", "age"])],
+        spread_by=["payment_id_raw"],
     )
     return _text_keys(_through_stream(wide, "enriched"), "customer_id")
 
 
 @query
 def refresh_incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline fed in small batches, against the batch plans over the same lines: rows that differ."""
-    online = _landing(fixture.online(spark, sf_dir), ONLINE_CSV, "landing-online")
+    """The pipeline fed in small batches, against the batch plans over the same lines: rows that differ.
+
+    Online lines of one order differ in their date, so a header depends on all of its lines.
+    """
+    day = F.pmod("payment_id", F.lit(3)).cast("int")
+    sold = fixture.online(spark, sf_dir).withColumn("Order_Date", F.col("Order_Date") - F.make_dt_interval(day))
+    online = _landing(sold, ONLINE_CSV, "landing-online")
     offline = _landing(fixture.offline(spark, sf_dir), OFFLINE_CSV, "landing-offline")
     house = Warehouse(spark, online, offline, scratch(spark, "warehouse"), online_files=2, offline_files=2)
     house.ingest()
     house.stream_facts()
-    lines = _lines(spark, sf_dir)
+    lines = sales_lines(sold, fixture.offline(spark, sf_dir))
     full = {
         "orders": silver.orders(silver.order_headers(lines)),
         "orders_items": silver.orders_items(lines),
         "payment": silver.payment(lines),
         "employee_history": silver.employee_history(silver.employee_versions(silver.employee_changes(lines))),
     }
-    incremental = {name: spark.read.parquet(house.path("silver", name)) for name in full if name != "employee_history"}
-    incremental["employee_history"] = house.employee_history()
+    incremental = {name: spark.read.parquet(house.path("silver", name)) for name in ("orders_items", "payment")}
+    incremental |= {"orders": house.orders(), "employee_history": house.employee_history()}
     parts = []
     for name, rows in full.items():
         both = rows.withColumn("_side", F.lit(1)).unionByName(

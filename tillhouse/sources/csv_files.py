@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tillhouse.functions.clean import normalize_headers
+from tillhouse.sources.storage import exists, make_folder
+from tillhouse.streaming.refresh import TRIGGERED, merge_into
 
 RESCUED = "_rescued_data"
 
@@ -15,6 +22,7 @@ DIALECT = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
 _RAW_LINE = "_unfitting_line"
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _options(extra: dict[str, str] | None = None) -> dict[str, str]:
@@ -37,28 +45,135 @@ def _rescue(df: DataFrame) -> DataFrame:
     return df.withColumn(RESCUED, F.when(F.col(_RAW_LINE).isNotNull(), verdict)).drop(_RAW_LINE)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
-    """Batch read. A bad field becomes NULL and its line is kept in ``_rescued_data``; no row is dropped."""
-    return _rescue(spark.read.options(**_options(options)).schema(_with_raw_line(schema)).csv(path))
+def header_lines(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the names in their first line; a file without any line has no names. Reads one line of each file."""
+    path_type = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+
+    def names(file: str) -> tuple[str, ...]:
+        path = path_type(file)
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        if not line:
+            return ()
+        cells = next(csv.reader([line.removeprefix("\ufeff")], doublequote=True))
+        return tuple(cell.strip() for cell in cells)
+
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, header in zip(files, pool.map(names, files)):
+            found.setdefault(header, []).append(file)
+    return found
+
+
+def _read_group(
+    spark: SparkSession, files: list[str], header: tuple[str, ...], schema: StructType, options: dict[str, str], source: str | None
+) -> DataFrame:
+    """Files of one header, read under it and then put into the declared columns by name.
+
+    Declared columns the files lack are NULL. Columns nobody declared go to ``_rescued_data``.
+    """
+    declared = {f.name.lower(): f for f in schema}
+    fields, place, extra = [], {}, {}
+    for i, name in enumerate(header):
+        known = declared.get(name.lower())
+        if known is not None and known.name not in place:
+            place[known.name] = f"_c{i}"
+            fields.append(StructField(f"_c{i}", known.dataType))
+        else:
+            extra[f"_c{i}"] = name
+            fields.append(StructField(f"_c{i}", StringType()))
+    raw = spark.read.options(**_options(options)).schema(_with_raw_line(StructType(fields))).csv(files)
+    line = F.col(_RAW_LINE)
+    # Every column is named here, so the verdict on a line is the same whatever else is selected.
+    empty = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(name)) for name, c in place.items()]))
+    parts = [F.when(line.isNotNull(), line).alias("line"), F.when(line.isNotNull(), empty).alias("empty")]
+    surplus = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in extra], F.lit(False))
+    if extra:
+        values = F.struct(*[F.col(c).alias(name or f"column {int(c[2:]) + 1}") for c, name in extra.items()])
+        parts.append(F.when(surplus, values).alias("extra"))
+    rescued = F.when(line.isNotNull() | surplus, F.to_json(F.struct(*parts)))
+    columns = [(F.col(place[f.name]) if f.name in place else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]
+    columns += [F.col("_metadata.file_path").alias(source)] if source else []
+    return raw.select(*columns, rescued.alias(RESCUED))
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Files below a folder, or the file itself; names only."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return sorted(row.path for row in found.select("path").collect())
+
+
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: StructType, source: str | None = None, **options: str
+) -> DataFrame:
+    """Batch read of a folder or of given files, columns matched by name (ignoring case) whatever their order.
+
+    A bad field becomes NULL and its line is kept in ``_rescued_data``, as are columns that are not declared; no row is
+    dropped. ``source`` adds the file each row came from under that name.
+    """
+    files = [path] if isinstance(path, str) and path.endswith(".csv") else path
+    files = list_files(spark, files) if isinstance(files, str) else files
+    groups = {header: own for header, own in header_lines(spark, files).items() if header}
+    if not groups:
+        names = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
+        names += [f"`{source}` string"] if source else []
+        return spark.createDataFrame([], ", ".join([*names, f"{RESCUED} string"]))
+    return reduce(DataFrame.unionByName, [_read_group(spark, own, header, schema, options, source) for header, own in groups.items()])
 
 
 def read_csv_stream(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None, **options: str
 ) -> DataFrame:
-    """The same as a stream of new files, at most ``max_files`` per micro-batch."""
+    """New files as a stream, at most ``max_files`` per micro-batch, for files that all have the declared header.
+
+    A file with another header fails the stream instead of filling the wrong columns; :func:`ingest_csv` takes any.
+    """
+    options["enforceSchema"] = "false"
     if max_files is not None:
         options["maxFilesPerTrigger"] = str(max_files)
     return _rescue(spark.readStream.options(**_options(options)).schema(_with_raw_line(schema)).csv(path))
 
 
-def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> StructType:
-    """Column types guessed from a share of the lines, to be declared on the stream.
+def ingest_csv(
+    spark: SparkSession, folder: str, schema: StructType, out: str, checkpoint: str, max_files: int, mode: str = TRIGGERED
+) -> StreamingQuery:
+    """Bronze rows of new files, matched by name, appended under ``out``; every file exactly once.
+
+    The stream carries file names only; each micro-batch reads its files under their own headers and writes a folder of
+    its own, which is complete once Spark has marked it. Read with ``recursiveFileLookup``.
+    """
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        target = f"{out}/batch-{batch_id:09d}"
+        if exists(spark, f"{target}/_SUCCESS"):
+            return
+        files = [row.path for row in batch.select("path").collect()]  # at most ``max_files``
+        bronze_files(spark, files, schema).write.mode("overwrite").parquet(target)
+
+    make_folder(spark, out)
+    names = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+    names = names.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").load(folder)
+    return merge_into(names.select("path"), take, checkpoint, mode)
+
+
+def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
+    """Column types guessed from the lines of ``path``, all of them by default, to be declared on the stream.
 
     A line outside the share that contradicts the guess is not lost: it is rescued when read. Give a few files
     rather than the whole folder when the folder is large.
     """
     guess = spark.read.options(**_options()).option("inferSchema", "true").option("samplingRatio", sampling_ratio)
-    return guess.csv(path).schema
+    return guess.option("recursiveFileLookup", "true").csv(path).schema
+
+
+def zone_free(schema: StructType) -> StructType:
+    """Inferred timestamps as the zone-free type that the declared layouts have."""
+    local = TimestampNTZType()
+    return StructType([StructField(f.name, local if f.dataType == TimestampType() else f.dataType) for f in schema])
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -71,6 +186,17 @@ def bronze(df: DataFrame) -> DataFrame:
     return with_lineage(normalize_headers(df))
 
 
+def bronze_files(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
+    """The same of given files with any headers."""
+    rows = read_csv(spark, files, schema, source="file_path")
+    return normalize_headers(rows.select(*schema.names, RESCUED, "file_path")).withColumn("ingestion_datetime", F.current_timestamp())
+
+
+def bronze_schema(spark: SparkSession, schema: StructType) -> StructType:
+    """Columns of a bronze table."""
+    return bronze_files(spark, [], schema).schema
+
+
 def split_rescued(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the declared schema, and the rest with what was rescued of them."""
     good = df.filter(F.col(RESCUED).isNull()).drop(RESCUED)

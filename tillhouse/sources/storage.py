@@ -43,11 +43,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, found = _file_system(spark, path)
+    return system.exists(found)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, found = _file_system(spark, path)
+    system.mkdirs(found)
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored table of one folder per batch, which may have no rows yet."""
+    make_folder(spark, path)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 def read_table_stream(
     spark: SparkSession, path: str, schema: StructType, max_files: int | None = None, glob: str | None = None
 ) -> DataFrame:
     """A stored table as a stream of appended files."""
-    reader = spark.readStream.schema(schema)
+    make_folder(spark, path)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob is not None:
@@ -55,6 +77,21 @@ def read_table_stream(
     return reader.parquet(path)
 
 
+def name_folder(
+    spark: SparkSession, table: str, path: str, schema: StructType, comment: str, properties: dict[str, str]
+) -> None:
+    """Give a folder that streams append to a table name, comment and properties. The files stay where they are."""
+    make_folder(spark, path)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # an external table: only the name goes
+    spark.catalog.createTable(table, path=path, source="parquet", schema=schema, description=comment, recursiveFileLookup="true")
+    set_properties(spark, table, properties)
+
+
+def set_properties(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
+    pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+
+
 def checked(df: DataFrame, ddl: str) -> DataFrame:
     """Fail early unless ``df`` has exactly the declared columns and types, in order."""
     declared = StructType.fromDDL(ddl)
@@ -85,5 +122,4 @@ def publish(
         quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+        set_properties(spark, table, properties)

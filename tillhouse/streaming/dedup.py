@@ -2,45 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def thin(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop repeats of a key within each Arrow batch, before any shuffle.
-
-    Streaming distinct has no map-side step, so every row of a busy key would travel to one task. There is no
-    built-in partial distinct for streams, hence this per-batch pandas step. It keeps the first row it sees, as
-    the distinct itself does.
-    """
-
-    def first_per_key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop_duplicates(subset=keys, keep="first")
-
-    return df.mapInPandas(first_per_key, schema=df.schema)
-
-
-def dedup_stream(
-    df: DataFrame, keys: list[str], event_time: str | None = None, delay: str | None = None, thinned: bool = False
-) -> DataFrame:
-    """First row per key.
+def dedup_stream(df: DataFrame, keys: list[str], event_time: str | None = None, delay: str | None = None) -> DataFrame:
+    """The row per key that arrives first.
 
     Without ``event_time`` every key is remembered for ever. With it, a key is remembered for ``delay`` of event
     time, and a repeat is recognized when it comes within ``delay`` of the first. Spark drops rows that arrive more
     than ``delay`` behind the newest event time, so bound the state only where arrival follows event time that closely.
     Watermarks need a zoned timestamp, so a zone-free event time is read in the session zone for the watermark only.
+    Which row stays depends on arrival; where that matters, fold a log instead (:mod:`tillhouse.streaming.cdc`).
     """
-    rows = thin(df, keys) if thinned else df
     if event_time is None:
-        return rows.dropDuplicates(keys)
+        return df.dropDuplicates(keys)
     if delay is None:
         raise ValueError("a watermark needs a delay")
     return (
-        rows.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+        df.withColumn("_event_time", F.col(event_time).cast("timestamp"))
         .withWatermark("_event_time", delay)
         .dropDuplicatesWithinWatermark(keys)
         .drop("_event_time")
