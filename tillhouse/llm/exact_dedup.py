@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.frames import fresh_name, stored
+from tillhouse.llm.frames import fresh_name, small_or_shuffled, stored
 
 PREFIX_CHARS = 128
 #: Rows of the table of shared (length, prefix) pairs that is still sent to all executors (24 bytes a row, 12 MB).
-#: Beyond it every text gets its full hash where it is read, and the pairs meet narrow rows by a shuffle.
+#: Beyond it every text gets its full hash where it is read, and groups form by that alone.
 BROADCAST_ROWS = 500_000
 
 
@@ -70,21 +70,22 @@ def exact_groups(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without rows whose text another row with a larger id has; of repeated rows of one id, one stays.
 
-    Only ids that go are matched against the documents. The list is written first, so its true size decides whether it
-    is broadcast (``spark.sql.autoBroadcastJoinThreshold``) or the documents are shuffled to it.
+    Only what goes is matched against the documents, by id and a hash of the text. That list is written and counted: up
+    to ``frames.BROADCAST_ROWS`` rows it is broadcast and the documents stay where they are, beyond that they are
+    shuffled to it once.
     """
     columns = docs.columns
     digest, row = fresh_name(columns, "_digest"), fresh_name(columns, "_row")
-    keyed = docs.select("doc_id", "text").withColumn(digest, F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = exact_groups(keyed, [digest]).where("group_size > 1")
-    listed = stored(rows.select("doc_id", digest, "kept", "n_same").distinct(), "exact-listed")
-    hashed = docs.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")), 256))
-    gone = listed.where("not kept").select(F.col("doc_id").alias(row), F.col(digest).alias(digest + "_"))
-    rest = hashed.join(gone, F.col("doc_id").eqNullSafe(F.col(row)) & (F.col(digest) == F.col(digest + "_")), "left_anti")
-    twice = listed.where("kept and n_same > 1").select(F.col("doc_id").alias(row), F.col(digest).alias(digest + "_"))
-    again = F.col("doc_id").eqNullSafe(F.col(row)) & (F.col(digest) == F.col(digest + "_"))
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", "text").withColumn(digest, F.unhex(F.sha2(text, 256)))
+    rows = exact_groups(keyed, [digest]).where("group_size > 1 and (not kept or n_same > 1)")
+    listed = stored(rows.select(F.col("doc_id").alias(row), F.col(digest).alias(digest + "_"), "kept").distinct(), "exact-listed")
+    match = F.col("doc_id").eqNullSafe(F.col(row)) & (F.col(digest) == F.col(digest + "_"))
+    hashed = docs.withColumn(digest, F.unhex(F.sha2(text, 256)))
+    rest = hashed.join(small_or_shuffled(stored(listed.where("not kept").drop("kept"), "exact-gone")), match, "left_anti")
+    twice = stored(listed.where("kept").drop("kept"), "exact-twice")
     if twice.isEmpty():
         return rest.select(*columns)
-    once = rest.join(twice, again, "left_anti").select(*columns)
-    repeated = rest.join(twice, again, "left_semi").dropDuplicates(["doc_id", digest]).select(*columns)
-    return once.unionByName(repeated)
+    again = small_or_shuffled(twice)
+    repeated = rest.join(again, match, "left_semi").dropDuplicates(["doc_id", digest]).select(*columns)
+    return rest.join(again, match, "left_anti").select(*columns).unionByName(repeated)

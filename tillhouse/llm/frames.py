@@ -11,7 +11,7 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from tillhouse.sources.storage import stored
 
-__all__ = ["appended", "components", "documents", "fresh_name", "stored", "table"]
+__all__ = ["appended", "components", "documents", "fresh_name", "small_or_shuffled", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return stored(nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")), f"{name}-done")
 
 
+#: Rows of a written list of ids and hashes that is still sent to all executors (about 20 MB).
+BROADCAST_ROWS = 500_000
+
+
+def small_or_shuffled(listed: DataFrame) -> DataFrame:
+    """A written narrow table, marked for broadcast where its counted rows allow it; otherwise it is joined by a shuffle."""
+    return F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
+
+
 def appended(
     rows: DataFrame, carry: list[str], added: list[tuple[str, str]], start: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:

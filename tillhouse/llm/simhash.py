@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm import text as T
-from tillhouse.llm.frames import appended, components, fresh_name, stored
+from tillhouse.llm.frames import appended, components, fresh_name, small_or_shuffled, stored
 
 SHINGLE = 3
 RADIUS = 2
@@ -234,7 +234,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 def drop_near_copies(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id; repeats of one id and fingerprint leave one.
 
-    Only what goes is matched against the documents; the list is written first, so its true size decides on a broadcast.
+    Only what goes is matched against the documents; that list is written and counted, and broadcast if it is small.
     """
     columns = docs.columns
     fp, row, its = fresh_name(columns, "fp_"), fresh_name(columns, "row_"), fresh_name(columns, "its_")
@@ -252,9 +252,10 @@ def drop_near_copies(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     marked = fingerprints(docs, size, name=fp)
     match = F.col("doc_id").eqNullSafe(F.col(row)) & (F.col(fp) == F.col(its))
     names = [F.col("doc_id").alias(row), F.col("fp").alias(its)]
-    rest = marked.join(listed.where("gone").select(*names), match, "left_anti")
-    twice = listed.where("not gone and n > 1").select(*names).distinct()
+    rest = marked.join(small_or_shuffled(stored(listed.where("gone").select(*names), "simhash-drop")), match, "left_anti")
+    twice = stored(listed.where("not gone and n > 1").select(*names).distinct(), "simhash-twice")
     if twice.isEmpty():
         return rest.select(*columns)
+    twice = small_or_shuffled(twice)
     repeated = rest.join(twice, match, "left_semi").dropDuplicates(["doc_id", fp]).select(*columns)
     return rest.join(twice, match, "left_anti").select(*columns).unionByName(repeated)
