@@ -9,7 +9,9 @@ in every copy of the window. Suffixes start at these grams only, about one word
 1. One scan lists each document's grams. Documents with equal words keep one row, so copies cost nothing further.
 2. Grams that one document alone has as the smallest of a window are counted out, and with them most of the corpus.
 3. Each remaining suffix carries the words of all windows in which its gram is smallest. Suffixes are partitioned by
-   prefix: the gram alone, and where ``SPLIT`` or more suffixes share it, the gram and a part number.
+   prefixes of different length: the gram alone; where ``SPLIT`` or more suffixes share it, its windows part into those
+   that hold the next 30 words, under a prefix so much longer, and those that hold the 21 words before, under these;
+   where ``SPLIT`` suffixes share even that, the prefix is divided by number.
 4. A task takes complete prefixes, memory-sized runs at a time, sorts their suffixes, and reads the tree off the longest
    common prefixes of neighbours: suffixes below one node of depth r share r words. The same is done for the words
    before the gram, read backwards. Suffixes that share a node of depth WINDOW - k on the right and one of depth k on
@@ -34,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm import text as T
-from tillhouse.llm.frames import appended, stored
+from tillhouse.llm.frames import appended, small_or_shuffled, stored
 
 WINDOW = 50
 PREFIX = 10
-#: Suffixes of one prefix beyond which the prefix is divided; also about how many a task holds at a time.
+#: Suffixes of one prefix from which the prefix grows or is divided; also about how many a task holds at a time.
 SPLIT = 8192
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -109,49 +111,78 @@ def _listed(docs: DataFrame, window: int, size: int) -> DataFrame:
     return appended(docs, ["doc_id", "row_md5"], added, start)
 
 
-_SUFFIX = "gram bigint, part int, parts int, row bigint, doc bigint, left int, places array<int>, words binary"
+_SUFFIX = "key bigint, row bigint, doc bigint, left int, places array<int>, words binary"
 
 
-def _suffixes(window: int):
-    """A row per different suffix of a document, with the words around it and all places where it starts."""
+def _suffixes(window: int, size: int, hot: bool):
+    """A row per different suffix of a document, with the words around it and all places where it starts; either those
+    of grams with fewer than ``SPLIT`` suffixes, or the others, under longer prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _suffix_rows(batch, window)
+            if batch.num_rows:
+                yield from _suffix_rows(batch, window, size, hot)
 
     return run
 
 
-def _suffix_rows(batch: pa.RecordBatch, window: int) -> Iterator[pa.RecordBatch]:
-    if batch.num_rows:
-        rows, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
-        texts, lists = batch.column("text"), batch.column("suffixes")
-        held = [[] for _ in range(8)]
-        size = 0
-        for k, (row, doc) in enumerate(zip(rows, ids)):
-            words = (texts[k].as_py() or "").encode().split()
-            own: dict[tuple, list[int]] = {}
-            for s in lists[k].as_py():
-                around = b" ".join(words[s["pos"] - s["far"] : s["pos"] - s["near"] + window])
-                own.setdefault((s["gram"], 1 + s["n"] // SPLIT, s["far"], around), []).append(s["pos"])
-            for (gram, parts, left, around), places in own.items():
-                part = (row * 0x9E3779B1 >> 7) % parts
-                for column, value in zip(held, (gram, part, parts, row, doc, left, places, around)):
-                    column.append(value)
-                size += len(around)
-            if size > 8 << 20:
-                yield _suffix_batch(held)
-                held, size = [[] for _ in range(8)], 0
-        if held[0]:
+def _longer(gram: int, words: list[bytes], tag: bytes) -> int:
+    return int.from_bytes(hashlib.md5(tag + b"%d " % gram + b" ".join(words)).digest()[:8], "little", signed=True)
+
+
+def _suffix_rows(batch: pa.RecordBatch, window: int, size: int, hot: bool) -> Iterator[pa.RecordBatch]:
+    rows, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
+    texts, lists = batch.column("text"), batch.column("suffixes")
+    middle = (window - size) // 2
+    held = [[] for _ in range(6)]
+    bytes_held = 0
+    for k, (row, doc) in enumerate(zip(rows, ids)):
+        words = (texts[k].as_py() or "").encode().split()
+        own: dict[tuple, list[int]] = {}
+        for s in lists[k].as_py():
+            if (s["n"] >= SPLIT) != hot:
+                continue
+            pos, near, far, gram = s["pos"], s["near"], s["far"], s["gram"]
+            if not hot:
+                parts = [(gram, near, far)]
+            else:
+                parts = []
+                if near <= middle:
+                    parts.append((_longer(gram, words[pos : pos + window - middle], b">"), near, min(far, middle)))
+                if far > middle:
+                    parts.append((_longer(gram, words[pos - middle - 1 : pos], b"<"), max(near, middle + 1), far))
+            for key, low, high in parts:
+                around = b" ".join(words[pos - high : pos - low + window])
+                own.setdefault((key, high, around), []).append(pos)
+        for (key, left, around), places in own.items():
+            for column, value in zip(held, (key, row, doc, left, places, around)):
+                column.append(value)
+            bytes_held += len(around)
+        if bytes_held > 8 << 20:
             yield _suffix_batch(held)
+            held, bytes_held = [[] for _ in range(6)], 0
+    if held[0]:
+        yield _suffix_batch(held)
 
 
 def _suffix_batch(held: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
-    names = ["gram", "part", "parts", "row", "doc", "left", "places", "words"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
+    names = ["key", "row", "doc", "left", "places", "words"]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(held, kinds)], names=names)
 
 
+def _partitioned(parts: DataFrame, window: int, size: int) -> DataFrame:
+    """Suffixes with ``part`` and ``parts`` of their prefix, complete prefixes together and sorted."""
+    cold = parts.mapInArrow(_suffixes(window, size, False), _SUFFIX)
+    cold = cold.withColumns({"part": F.lit(0), "parts": F.lit(1)})
+    hot = stored(parts.mapInArrow(_suffixes(window, size, True), _SUFFIX), "repeats-hot")
+    crowded = stored(hot.groupBy("key").count().where(F.col("count") >= SPLIT), "repeats-crowded")
+    number = (F.lit(1) + F.coalesce(F.col("count"), F.lit(0)) / SPLIT).cast("int")
+    hot = hot.join(crowded, "key", "left").withColumn("parts", number).drop("count")
+    hot = hot.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    return cold.unionByName(hot).repartition("key", "part").sortWithinPartitions("key", "part")
+
+
 def _tree(group: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of ``words`` within their groups, and how many leading words each shares with the one before.
 
@@ -219,7 +250,7 @@ def _searched(window: int, size: int):
             if rows < SPLIT:
                 continue
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            key, part = whole.column("gram").to_numpy(), whole.column("part").to_numpy()
+            key, part = whole.column("key").to_numpy(), whole.column("part").to_numpy()
             last = int(np.flatnonzero((key != key[-1]) | (part != part[-1]))[-1]) + 1 if (key[0], part[0]) != (key[-1], part[-1]) else 0
             if last:
                 yield from _found(whole.slice(0, last), window, size)
@@ -233,7 +264,7 @@ def _searched(window: int, size: int):
 def _found(batch: pa.RecordBatch, window: int, size: int) -> Iterator[pa.RecordBatch]:
     for low, high in _memory_sized(batch):
         part = batch.slice(low, high - low)
-        key, number = part.column("gram").to_numpy(), part.column("part").to_numpy()
+        key, number = part.column("key").to_numpy(), part.column("part").to_numpy()
         group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (number[1:] != number[:-1]))])
         words = []
         for texts in T.chunks(part.column("words")):
@@ -265,7 +296,7 @@ def _found(batch: pa.RecordBatch, window: int, size: int) -> Iterator[pa.RecordB
 
 def _memory_sized(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
     """Runs of complete prefixes of about ``SPLIT`` rows."""
-    key, part = batch.column("gram").to_numpy(), batch.column("part").to_numpy()
+    key, part = batch.column("key").to_numpy(), batch.column("part").to_numpy()
     ends = np.concatenate([np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1, [len(key)]])
     low = 0
     while low < len(key):
@@ -301,22 +332,23 @@ def _cut(window: int):
 def repeats(docs: DataFrame, window: int = WINDOW, size: int = PREFIX, texts: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and, if ``texts``, ``kept``: the words that
     stay, one space apart (null where nothing was removed: the text stays as it is)."""
-    source = docs.select("doc_id", "text").withColumn("row_md5", F.md5(F.coalesce("text", F.lit(""))))
-    listed = stored(_listed(source, window, size), "repeats-listed")
+    source = docs.select("doc_id", "text").withColumn("row_md5", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    listed = stored(_listed(source, window, size).withColumn("row", F.monotonically_increasing_id()), "repeats-listed")
     able = listed.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    copies = able.groupBy("words_sha256").agg(F.min(F.struct("doc_id", "row_md5")).alias("rep"), F.count(F.lit(1)).alias("n"))
-    copies = stored(copies.where("n > 1").select("words_sha256", F.col("rep.doc_id").alias("rep"), F.col("rep.row_md5").alias("rep_md5")), "repeats-copies")
-    single = able.join(copies, "words_sha256", "left").where("rep is null or (doc_id = rep and row_md5 = rep_md5)")
-    grams = stored(single.select("doc_id", "row_md5", "words_sha256", F.explode("grams").alias("g")).select("doc_id", "row_md5", "words_sha256", "g.*"), "repeats-grams")
+    copies = able.groupBy("words_sha256").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.count(F.lit(1)).alias("n"))
+    copies = stored(copies.where("n > 1").select("words_sha256", F.col("rep.doc_id").alias("rep"), F.col("rep.row").alias("rep_row")), "repeats-copies")
+    again = stored(able.select("words_sha256", "row").join(copies, "words_sha256").where("row <> rep_row").select("row"), "repeats-again")
+    single = able.select("row", "doc_id", "grams").join(small_or_shuffled(again), "row", "left_anti")
+    grams = stored(single.select("row", "doc_id", F.explode("grams").alias("g")).select("row", "doc_id", "g.*"), "repeats-grams")
     shared = grams.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
     shared = stored(shared.where("lo < hi").select("gram", "n"), "repeats-shared")
     own = F.collect_list(F.struct("pos", "gram", "near", "far", "n"))  # the grams of one document
-    picked = grams.join(shared, "gram").groupBy("doc_id", "row_md5", "words_sha256").agg(own.alias("suffixes"))
-    picked = stored(picked, "repeats-picked").withColumn("row", F.monotonically_increasing_id())
-    # The only shuffle of texts; a broadcast where what was picked is small (its true size is known, it is a table).
-    parts = stored(source.join(picked, ["doc_id", "row_md5"]).dropDuplicates(["row"]).select("row", "doc_id", "words_sha256", "text", "suffixes"), "repeats-texts")
-    suffixes = parts.select("row", "doc_id", "text", "suffixes").mapInArrow(_suffixes(window), _SUFFIX)
-    grouped = suffixes.repartition("gram", "part").sortWithinPartitions("gram", "part")
+    picked = stored(grams.drop("doc_id").join(shared, "gram").groupBy("row").agg(own.alias("suffixes")), "repeats-picked")
+    # Only texts that have such grams travel; which ones is told by a counted broadcast, or beyond its bound by a shuffle.
+    wanted = stored(listed.select("row", "doc_id", "row_md5", "words_sha256").join(picked.select("row"), "row"), "repeats-wanted")
+    texts_of = source.join(small_or_shuffled(wanted), ["doc_id", "row_md5"])  # repeated rows come twice, alike
+    parts = stored(texts_of.select("row", "doc_id", "words_sha256", "text").join(picked, "row"), "repeats-texts")
+    grouped = _partitioned(parts.select("row", "doc_id", "text", "suffixes"), window, size)
     found = stored(grouped.mapInArrow(_searched(window, size), _FOUND), "repeats-found")
     divided = found.where("window is not null")
     least = stored(divided.groupBy("window").agg(F.min("doc").alias("least")), "repeats-least")
