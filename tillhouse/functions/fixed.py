@@ -27,3 +27,16 @@ EMPLOYEE_HISTORY_DDL = """
     update_dt TIMESTAMP_NTZ, insert_dt TIMESTAMP_NTZ,
     __START_AT TIMESTAMP_NTZ, __END_AT TIMESTAMP_NTZ
 """
+
+# Columns of published tables, in contract order.
+MEASURES = ["sales", "quantity", "discount", "profit", "cost"]
+ORDER_COLUMNS = [
+    "order_id", "customer_id", "store_id", "employee_src_id", "order_date", "order_src_id", "source_system",
+    "source_entity",
+]
+ITEM_COLUMNS = ["order_item_id", "order_id", "product_id", "sales", "quantity", "discount", "profit", "cost"]
+PAYMENT_COLUMNS = ["payment_id", "order_id", "method_id", "payment_src_id", "payment_amount", "source_system"]
+FACT_COLUMNS = [
+    "sale_sk", "order_id", "order_item_id", "customer_sk", "employee_sk", "store_sk", "product_sk",
+    "payment_method_sk", "order_date_sk", *MEASURES, "payment_amount", "source_system", "source_entity",
+]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.clean import with_audit
-from tillhouse.functions.fixed import OFFLINE
+from tillhouse.functions.fixed import FACT_COLUMNS, MEASURES, OFFLINE
 from tillhouse.functions.keys import fk60, md5_key, sk60
 from tillhouse.operators.calendar import date_dim, date_key, safe_date
 from tillhouse.operators.dedup import dedup, top1
@@ -109,13 +109,6 @@ def current_employees(dim_employee: DataFrame) -> DataFrame:
     )
 
 
-_MEASURES = ["sales", "quantity", "discount", "profit", "cost"]
-_FACT = [
-    "sale_sk", "order_id", "order_item_id", "customer_sk", "employee_sk", "store_sk", "product_sk",
-    "payment_method_sk", "order_date_sk", *_MEASURES, "payment_amount", "source_system", "source_entity",
-]
-
-
 def _sale_key() -> Column:
     return md5_key("order_src_id", "product_id")
 
@@ -128,12 +121,12 @@ _HEAD = [
 
 def _attach(items: DataFrame, heads: DataFrame, order: str, take: list[str]) -> DataFrame:
     """Lines with columns of their order's head. A hot order is split, lines without order are scattered."""
-    return lookup(items, heads, order, take, unique=True, spread_by=["order_item_id", *_MEASURES])
+    return lookup(items, heads, order, take, unique=True, spread_by=["order_item_id", *MEASURES])
 
 
 def _finish(rows: DataFrame) -> DataFrame:
     """Fact columns from lines that carry ``order_src_id`` and ``product_id``."""
-    return rows.withColumns({"sale_sk": _sale_key(), "order_id": F.col("order_src_id")}).select(*_FACT)
+    return rows.withColumns({"sale_sk": _sale_key(), "order_id": F.col("order_src_id")}).select(*FACT_COLUMNS)
 
 
 def _with_employee(heads: DataFrame, employees: DataFrame) -> DataFrame:
@@ -188,7 +181,7 @@ def fact_sales_joined(
         heads = lookup(heads, dim, key, [surrogate], unique=True, spread_by=["order_src_id"])
     rows = _attach(items, heads, "order_src_id", _HEAD)
     return _finish(
-        lookup(rows, dims["product"], "product_id", ["product_sk"], unique=True, spread_by=["order_item_id", *_MEASURES])
+        lookup(rows, dims["product"], "product_id", ["product_sk"], unique=True, spread_by=["order_item_id", *MEASURES])
     )
 
 

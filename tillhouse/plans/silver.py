@@ -12,7 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.clean import harmonize, with_audit
-from tillhouse.functions.fixed import COUNTRY_NAMES, EMPLOYEE_HISTORY_DDL, OFFLINE, OFFLINE_TABLE, ONLINE, ONLINE_TABLE
+from tillhouse.functions.fixed import (
+    COUNTRY_NAMES,
+    EMPLOYEE_HISTORY_DDL,
+    ITEM_COLUMNS,
+    OFFLINE,
+    OFFLINE_TABLE,
+    ONLINE,
+    ONLINE_TABLE,
+    ORDER_COLUMNS,
+    PAYMENT_COLUMNS,
+)
 from tillhouse.functions.keys import fk60, md5_key, sk60, xx_key
 from tillhouse.operators.cdc import scd2
 from tillhouse.operators.dedup import dedup
@@ -235,18 +245,12 @@ def order_ids() -> dict:
     }
 
 
-_ORDER_COLUMNS = [
-    "order_id", "customer_id", "store_id", "employee_src_id", "order_date", "order_src_id", "source_system",
-    "source_entity",
-]
-
-
 def orders(headers: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Order table from deduplicated headers, batch or stream; no join. ``keep`` adds header columns."""
     ids = order_ids()
     # a header without order number keeps an id of its own, which no line refers to
     ids["order_id"] = xx_key("order_src_id", "source_system")
-    return headers.withColumns(ids).select(*_ORDER_COLUMNS, *keep)
+    return headers.withColumns(ids).select(*ORDER_COLUMNS, *keep)
 
 
 def orders_joined(headers: DataFrame, customer: DataFrame, store: DataFrame) -> DataFrame:
@@ -267,13 +271,10 @@ def orders_joined(headers: DataFrame, customer: DataFrame, store: DataFrame) ->
         keyed.join(buyers, on="_buyer", how="left")
         .join(shops, on="_shop", how="left")
         .withColumn("order_id", xx_key("order_src_id", "source_system"))
-        .select(*_ORDER_COLUMNS)
+        .select(*ORDER_COLUMNS)
     )
 
 
-_ITEM_COLUMNS = ["order_item_id", "order_id", "product_id", "sales", "quantity", "discount", "profit", "cost"]
-
-
 def _item_id():
     return xx_key("order_src_id", "product_name", "sales", "quantity")
 
@@ -285,7 +286,7 @@ def orders_items(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "order_id": order_ids()["order_id"],
         "product_id": fk60(*PRODUCT_PATH),
     }
-    return lines.withColumns(ids).select(*_ITEM_COLUMNS, *keep)
+    return lines.withColumns(ids).select(*ITEM_COLUMNS, *keep)
 
 
 def orders_items_joined(
@@ -299,13 +300,10 @@ def orders_items_joined(
         lines.join(product.select("product_id", *on), on=on, how="left")
         .join(orders.select("order_id", "order_src_id"), on="order_src_id", how="left")
         .withColumn("order_item_id", _item_id())
-        .select(*_ITEM_COLUMNS, *keep)
+        .select(*ITEM_COLUMNS, *keep)
     )
 
 
-_PAYMENT_COLUMNS = ["payment_id", "order_id", "method_id", "payment_src_id", "payment_amount", "source_system"]
-
-
 def payment_keys(lines: DataFrame) -> DataFrame:
     keyed = lines.withColumns(
         {"payment_src_id": md5_key("source_system", "payment_id_raw"), "payment_amount": F.col("sales")}
@@ -316,7 +314,7 @@ def payment_keys(lines: DataFrame) -> DataFrame:
 def payment(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per line; no join."""
     ids = {"order_id": order_ids()["order_id"], "method_id": fk60(*METHOD_KEY, required=2)}
-    return payment_keys(lines).withColumns(ids).select(*_PAYMENT_COLUMNS, *keep)
+    return payment_keys(lines).withColumns(ids).select(*PAYMENT_COLUMNS, *keep)
 
 
 def payment_joined(
@@ -325,7 +323,7 @@ def payment_joined(
     """One row per line and matching order, method looked up by both its names, batch or stream."""
     keyed = lookup(payment_keys(lines), methods, list(METHOD_KEY), ["method_id"], unique=True)
     return keyed.join(orders.select("order_id", "order_src_id"), on="order_src_id", how="left").select(
-        *_PAYMENT_COLUMNS, *keep
+        *PAYMENT_COLUMNS, *keep
     )
 
 
