@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from tillhouse.sources.storage import stored
 
-__all__ = ["appended", "components", "documents", "fresh_name", "small_or_shuffled", "stored", "table"]
+__all__ = ["appended", "components", "documents", "fresh_name", "small_or_shuffled", "smallest", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return stored(nodes.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")), f"{name}-done")
 
 
+def smallest(rows: DataFrame, key: Column, limit: int) -> DataFrame:
+    """At most ``limit`` rows, those of the smallest hashes ``key``: a repeatable sample.
+
+    A cut at about twice the share that is needed comes first, so that few rows of each task meet for the final choice.
+    """
+    wide = 1 << 40
+    cut = min(wide, int(wide * (2 * limit + 1000) / max(1, rows.count())))
+    place = F.pmod(key, F.lit(wide))
+    return rows.where(place < cut).orderBy(place, *rows.columns).limit(limit)
+
+
 #: Rows of a written list of ids and hashes that is still sent to all executors (about 20 MB).
 BROADCAST_ROWS = 500_000
 

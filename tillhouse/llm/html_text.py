@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.boosting import Boosted, fitted
-from tillhouse.llm.frames import appended, fresh_name, stored
+from tillhouse.llm.frames import appended, fresh_name, smallest, stored
 
 MAX_PAGES = 2000
 MAX_DEPTH = 200
@@ -288,8 +288,11 @@ def prior(blocks: list[Block], x: np.ndarray) -> np.ndarray:
 
 def train(pages: DataFrame, html: str = "html", limit: int = MAX_PAGES) -> Boosted | None:
     """Fits on at most ``limit`` pages; features and labels of their blocks reach the driver, about 10 MB."""
-    chosen = pages.select(html).where(F.col(html).isNotNull())
-    chosen = stored(chosen.orderBy(F.xxhash64(html), html).limit(limit).select(html).repartition(8), "html-sample")
+    hashes = pages.select(F.xxhash64(html).alias("hash")).where(F.col(html).isNotNull()).groupBy("hash").count()
+    chosen = smallest(stored(hashes.select("hash"), "html-hashes"), F.col("hash"), limit)  # narrow rows only
+    rows = pages.select(html).join(F.broadcast(chosen), F.xxhash64(html) == F.col("hash"))
+    chosen = rows.groupBy("hash").agg(F.first(html).alias(html))  # of a page that many rows share, one a task travels
+    chosen = stored(chosen.repartition(8, "hash"), "html-sample")
 
     def labelled(batches):
         for batch in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.llm import text as T
 from tillhouse.llm.decontaminate import WORD
-from tillhouse.llm.frames import appended, fresh_name, stored
+from tillhouse.llm.frames import appended, fresh_name, smallest, stored
 
 MAX_LABELLED = 20_000
 MAX_FEATURES = 4096
@@ -98,7 +98,7 @@ def sampled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Da
     """At most ``limit`` labelled documents outside the held-out quarter: doc_id, text, toxic."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    chosen = smallest(stored(known, "toxic-labels"), F.xxhash64("doc_id"), limit)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``limit`` narrow rows
     return stored(rows.dropDuplicates(["doc_id"]), "toxic-sample")
 
