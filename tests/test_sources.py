@@ -151,3 +151,17 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     assert streamed.filter("file_path is null or ingestion_datetime is null").count() == 0
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
         append_to(read_csv_stream(spark, str(tmp_path / "a*.csv"), schema), f"{out}-2", f"{out}-2-checkpoint")
+
+
+def test_blank_lines_before_the_header_lose_no_row(spark, tmp_path):
+    """Blank is nothing, or white space, a byte order mark before it or not; only a file without any line is empty."""
+    starts = {"Rome": "\n", "Bonn": "\r\n \t\r\n", "Oslo": "\ufeff\n\n", "Bern": "\ufeff", "Kyiv": ""}
+    for city, start in starts.items():
+        (tmp_path / f"{city}.csv").write_bytes(f"{start}City,Country\n{city},here\n".encode())
+    (tmp_path / "blank.csv").write_text("\n \n")
+    schema = spark.createDataFrame([], "Country STRING, City STRING").schema
+    out = str(tmp_path.parent / f"{tmp_path.name}-out")
+    ingest_csv(spark, str(tmp_path), schema, out, f"{out}-checkpoint", 2)
+    streamed = read_table(spark, out, bronze_schema(spark, schema))
+    for df in (read_csv(spark, str(tmp_path), schema), streamed):
+        assert rows(df.select("City", "Country", RESCUED)) == [(city, "here", None) for city in sorted(starts)]

@@ -22,6 +22,7 @@ DIALECT = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
 _RAW_LINE = "_unfitting_line"
+_BLANK = "".join(map(chr, range(33)))
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -46,7 +47,10 @@ def _rescue(df: DataFrame) -> DataFrame:
 
 
 def header_lines(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by the names in their first line; a file without any line has no names. Reads one line of each file."""
+    """Files by the names in their header, the first line that is not blank; a file without such a line has no names.
+
+    Reads each file as far as its header. Blank is what Spark's own header reading skips: nothing above a space.
+    """
     path_type = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
 
@@ -54,12 +58,16 @@ def header_lines(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...],
         path = path_type(file)
         stream = path.getFileSystem(conf).open(path)
         try:
-            line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+            lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = lines.readLine()
+            line = line and line.removeprefix("\ufeff")
+            while line is not None and not line.strip(_BLANK):
+                line = lines.readLine()
         finally:
             stream.close()
-        if not line:
+        if line is None:
             return ()
-        cells = next(csv.reader([line.removeprefix("\ufeff")], doublequote=True))
+        cells = next(csv.reader([line], doublequote=True))
         return tuple(cell.strip() for cell in cells)
 
     found: dict[tuple[str, ...], list[str]] = {}
