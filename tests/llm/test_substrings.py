@@ -62,6 +62,17 @@ def test_equals_brute_force(spark, monkeypatch, window, size, split):
     assert sum(r["n_removed"] > 0 for r in got) > 20
 
 
+@pytest.mark.parametrize("extra", [0, 1, 20])
+def test_passage_twice_in_every_document_of_a_divided_prefix(spark, monkeypatch, extra):
+    """Each part's smallest document holds the passage in two rows, and under one id in rows of different texts."""
+    monkeypatch.setattr(substrings, "SPLIT", 6)
+    passage = prose(9, 12 + extra, 400)
+    rows = [(i, f"{prose(10 * i, 15, 400)} {passage} {prose(10 * i + 1, 15, 400)} {passage} {prose(10 * i + 2, 15, 400)}") for i in range(60)]
+    rows += [(i, f"{prose(10 * i + 3, 15, 400)} {passage} {prose(10 * i + 4, 15, 400)}") for i in range(0, 60, 3)]
+    got = repeats(frame(spark, rows, "doc_id long, text string"), 12, 3).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == brute(rows, 12)
+
+
 def test_kept_texts(spark):
     passage = prose(3, 60, 400)
     rows = [(1, f"x {passage} y"), (2, f"start {passage} end"), (3, f"x {passage}  y"), (4, "alone")]

@@ -16,7 +16,8 @@ in every copy of the window. Suffixes start at these grams only, about one word
    common prefixes of neighbours: suffixes below one node of depth r share r words. The same is done for the words
    before the gram, read backwards. Suffixes that share a node of depth WINDOW - k on the right and one of depth k on
    the left share the window that starts k words before the gram. The smallest id below decides.
-5. A divided prefix gets one row per part and window on from there, joined by an aggregate with map-side combine.
+5. Of a divided prefix, each part's smallest document hands its rows per window on, joined by an aggregate with map-side
+   combine.
 
 So no group of documents meets in one task, however many share a passage, and no pairs are made. Words compare by 64-bit
 hash, word by word; a false match needs two different words of one hash in otherwise equal windows.
@@ -117,11 +118,12 @@ _SUFFIX = "key bigint, row bigint, doc bigint, left int, places array<int>, word
 def _suffixes(window: int, size: int, hot: bool):
     """A row per different suffix of a document, with the words around it and all places where it starts; either those
     of grams with fewer than ``SPLIT`` suffixes, or the others, under longer prefixes."""
+    split = SPLIT  # the driver's value; executors import the module anew
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield from _suffix_rows(batch, window, size, hot)
+                yield from _suffix_rows(batch, window, size, hot, split)
 
     return run
 
@@ -130,7 +132,7 @@ def _longer(gram: int, words: list[bytes], tag: bytes) -> int:
     return int.from_bytes(hashlib.md5(tag + b"%d " % gram + b" ".join(words)).digest()[:8], "little", signed=True)
 
 
-def _suffix_rows(batch: pa.RecordBatch, window: int, size: int, hot: bool) -> Iterator[pa.RecordBatch]:
+def _suffix_rows(batch: pa.RecordBatch, window: int, size: int, hot: bool, split: int) -> Iterator[pa.RecordBatch]:
     rows, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
     texts, lists = batch.column("text"), batch.column("suffixes")
     middle = (window - size) // 2
@@ -140,7 +142,7 @@ def _suffix_rows(batch: pa.RecordBatch, window: int, size: int, hot: bool) -> It
         words = (texts[k].as_py() or "").encode().split()
         own: dict[tuple, list[int]] = {}
         for s in lists[k].as_py():
-            if (s["n"] >= SPLIT) != hot:
+            if (s["n"] >= split) != hot:
                 continue
             pos, near, far, gram = s["pos"], s["near"], s["far"], s["gram"]
             if not hot:
@@ -205,8 +207,8 @@ def _nodes(tree: tuple[np.ndarray, np.ndarray], depth: int) -> np.ndarray:
 
 def shared_windows(group: np.ndarray, doc: np.ndarray, left: np.ndarray, words: list[np.ndarray], window: int = WINDOW, size: int = PREFIX):
     """For suffixes with ``left`` words before their start: bit k of the first result is set if the window starting k
-    words before is also in a smaller document of the group; of the second, if the row stands for its window, i.e. has
-    the smallest document (the first such row)."""
+    words before is also in a smaller document of the group; of the second, if the row stands for its window, i.e. is
+    of the smallest document: each of its rows, since all go if another part has a smaller one."""
     n, deep = len(doc), window - size
     flat, counts = np.concatenate(words), np.array([len(w) for w in words])
     first = np.cumsum(counts) - counts
@@ -231,7 +233,7 @@ def shared_windows(group: np.ndarray, doc: np.ndarray, left: np.ndarray, words:
         head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
         least = doc[at[head]][np.cumsum(head) - 1]
         gone[at[least < doc[at]]] |= 1 << k
-        stands[at[head]] |= 1 << k
+        stands[at[least == doc[at]]] |= 1 << k
     return gone, stands
 
 
@@ -239,6 +241,8 @@ _FOUND = "row bigint, places array<int>, gone bigint, doc bigint, window binary,
 
 
 def _searched(window: int, size: int):
+    split = SPLIT
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -247,22 +251,22 @@ def _searched(window: int, size: int):
                 continue
             held.append(batch)
             rows += batch.num_rows
-            if rows < SPLIT:
+            if rows < split:
                 continue
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             key, part = whole.column("key").to_numpy(), whole.column("part").to_numpy()
             last = int(np.flatnonzero((key != key[-1]) | (part != part[-1]))[-1]) + 1 if (key[0], part[0]) != (key[-1], part[-1]) else 0
             if last:
-                yield from _found(whole.slice(0, last), window, size)
+                yield from _found(whole.slice(0, last), window, size, split)
             held, rows = [whole.slice(last)], whole.num_rows - last
         if rows:
-            yield from _found(pa.Table.from_batches(held).combine_chunks().to_batches()[0], window, size)
+            yield from _found(pa.Table.from_batches(held).combine_chunks().to_batches()[0], window, size, split)
 
     return run
 
 
-def _found(batch: pa.RecordBatch, window: int, size: int) -> Iterator[pa.RecordBatch]:
-    for low, high in _memory_sized(batch):
+def _found(batch: pa.RecordBatch, window: int, size: int, split: int) -> Iterator[pa.RecordBatch]:
+    for low, high in _memory_sized(batch, split):
         part = batch.slice(low, high - low)
         key, number = part.column("key").to_numpy(), part.column("part").to_numpy()
         group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (number[1:] != number[:-1]))])
@@ -294,13 +298,13 @@ def _found(batch: pa.RecordBatch, window: int, size: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(zip(*held), kinds)], names=["row", "places", "gone", "doc", "window", "k"])
 
 
-def _memory_sized(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
-    """Runs of complete prefixes of about ``SPLIT`` rows."""
+def _memory_sized(batch: pa.RecordBatch, split: int) -> Iterator[tuple[int, int]]:
+    """Runs of complete prefixes of about ``split`` rows."""
     key, part = batch.column("key").to_numpy(), batch.column("part").to_numpy()
     ends = np.concatenate([np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1, [len(key)]])
     low = 0
     while low < len(key):
-        high = int(ends[max(np.searchsorted(ends, low + SPLIT, side="right") - 1, np.searchsorted(ends, low, side="right"))])
+        high = int(ends[max(np.searchsorted(ends, low + split, side="right") - 1, np.searchsorted(ends, low, side="right"))])
         yield low, high
         low = high
 
