@@ -99,3 +99,15 @@ def test_given_pages_match_their_article(spark, sf_dir):
         parts = [re.sub(r"\s+", " ", re.sub(r"<br>", " ", p.replace("<b>", ""))).strip() for p in re.split(r"</?p>|</?h1>", body)]
         if "&" not in body and not re.search(r"<(?!/?(p|h1|b|br)>)", body):
             assert r["text"] == "\n".join(p.replace("</b>", "") for p in parts if p.replace("</b>", "").strip())
+
+
+def test_sibling_features_of_long_lists_and_articles():
+    """Place, number of siblings and of paragraphs among them are true counts, whatever their number."""
+    items = "".join(f"<li>{k}</li>" for k in range(100))
+    text = "".join(f"<p>{k}</p>" if k % 3 else f"<div>{k}</div>" for k in range(300))
+    blocks = H.parse(f"<body><ul>{items}</ul><article>{text}</article></body>")
+    x = H.block_features(blocks)
+    for tag, n, paragraphs in (("ul", 100, 0), ("article", 300, 200)):
+        own = [i for i, b in enumerate(blocks) if b.parent is not None and b.parent.tag == tag]
+        assert x[own, 11].tolist() == list(range(n)) and set(x[own, 12]) == {n}
+        assert np.allclose(x[own, 13], np.arange(n) / n) and set(x[own, 21]) == {paragraphs}

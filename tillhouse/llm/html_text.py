@@ -62,7 +62,7 @@ _TAGS = ["p", "div", "li", "ul", "section", "article", "main", "nav", "aside", "
 
 
 class Block:
-    __slots__ = ("tag", "words", "parent", "children", "parts", "links", "inline", "depth", "chars", "link_chars", "blocks", "tags", "stops", "runs")
+    __slots__ = ("tag", "words", "parent", "children", "parts", "links", "inline", "depth", "place", "paragraphs", "chars", "link_chars", "blocks", "tags", "stops", "runs")
 
     def __init__(self, tag: str, words: frozenset, parent: Block | None):
         self.tag, self.words, self.parent = tag, words, parent
@@ -70,6 +70,7 @@ class Block:
         self.parts: list = []  # own text and child blocks, in page order
         self.links = self.inline = 0
         self.depth = parent.depth + 1 if parent else 0
+        self.place = self.paragraphs = 0  # index among the siblings, number of paragraph children
 
 
 def attribute_words(attributes) -> frozenset:
@@ -184,6 +185,9 @@ def block_features(blocks: list[Block]) -> np.ndarray:
         own = _SPACE.sub(" ", "".join(x for x in b.parts if isinstance(x, str))).strip()
         b.chars, b.link_chars, b.blocks, b.tags = len(own), b.links, 1, 1 + b.inline
         b.stops, b.runs = sum(own.count(c) for c in ".,!?;:"), int(bool(own))
+        b.paragraphs = sum(c.tag in PARAGRAPHS for c in b.children)
+        for k, c in enumerate(b.children):
+            c.place = k
     own = [(b.chars, b.link_chars, b.stops) for b in blocks]
     for b in reversed(blocks):
         if b.parent is not None:
@@ -199,15 +203,13 @@ def block_features(blocks: list[Block]) -> np.ndarray:
     seen = 0
     for i, b in enumerate(blocks):
         up = b.parent
-        beside = up.children if up else [b]
-        place = 0 if up is None else next(k for k, x in enumerate(beside) if x is b) if len(beside) <= 64 else 32
-        paragraphs = sum(c.tag in PARAGRAPHS for c in b.children)
+        beside = len(up.children) if up else 1
         row = [
             np.log1p(b.chars), b.chars / total, b.link_chars / max(1, b.chars), b.chars / b.tags, b.chars / b.blocks,
             b.stops / max(1, b.chars), b.runs, np.log1p(own[i][0]), own[i][1] / max(1, own[i][0]), own[i][2], b.depth,
-            place, len(beside), place / len(beside), len(b.children), paragraphs, seen / total, len(b.words),
+            b.place, beside, b.place / beside, len(b.children), b.paragraphs, seen / total, len(b.words),
             np.log1p(up.chars) if up else 0, up.link_chars / max(1, up.chars) if up else 0, b.chars / max(1, up.chars) if up else 1,
-            sum(c.tag in PARAGRAPHS for c in beside) if len(beside) <= 64 else 64, b.tag in PARAGRAPHS, np.log1p(b.tags),
+            up.paragraphs if up else b.tag in PARAGRAPHS, b.tag in PARAGRAPHS, np.log1p(b.tags),
         ]
         out[i, : len(row)] = row
         if b.tag in _TAGS:
