@@ -111,3 +111,23 @@ def test_sibling_features_of_long_lists_and_articles():
         own = [i for i, b in enumerate(blocks) if b.parent is not None and b.parent.tag == tag]
         assert x[own, 11].tolist() == list(range(n)) and set(x[own, 12]) == {n}
         assert np.allclose(x[own, 13], np.arange(n) / n) and set(x[own, 21]) == {paragraphs}
+
+
+def test_deep_nesting_keeps_block_borders_and_cuts():
+    """A thousand levels around and inside the article; a menu and an advert at the bottom are cut, the rest is kept."""
+    outer = "".join(f"<{('div', 'ul', 'blockquote')[k % 3]}>" for k in range(1000))
+    inner = "".join(f"<div>a{k} <b>b</b>" for k in range(1000))
+    deep = "<nav>menu</nav><p>one<p>two<div class='advert'><p>buy</p></div><ul><li>three<li>four</ul>"
+    blocks = H.parse(f"{outer}<p>before</p><article>{inner}{deep}{'</div>tail' * 1000}</article>after")
+    want = [*(f"a{k} b" for k in range(1000)), "one", "two", "three", "four", *["tail"] * 1000]
+    assert H.kept_text(blocks, H.decode(blocks, 2 * H.landmark_labels(blocks) - 1)).split("\n") == want
+    every = H.kept_text(blocks, np.ones(len(blocks), dtype=bool)).split("\n")
+    assert every == ["before", *want[:1000], "menu", "one", "two", "buy", *want[1002:], "after"]
+    assert max(b.depth for b in blocks) > 2000 and len(H.block_features(blocks)) == len(blocks)
+
+
+def test_unclosed_and_unmatched_tags_take_linear_time():
+    n = 40_000
+    blocks = H.parse("<p><body>" + "<blockquote>q" * n + "</x></section></i>" * n + "<div><i>" * n + "</b>" * n)
+    assert len(blocks) == 2 * n + 3
+    assert H.kept_text(blocks, np.ones(len(blocks), dtype=bool)).count("q") == n

@@ -14,13 +14,15 @@ without them are judged by what they look like. Without any landmark in the samp
 
 Null and empty html, and pages without text, give the empty text. Pages are independent: repeated rows come out
 repeated, an empty table gives no rows. Blocks are joined by a line feed in page order, white space within a block is
-one space, character references are decoded. Nesting deeper than ``MAX_DEPTH`` is flattened, not dropped.
+one space, character references are decoded. Nesting may have any depth.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,7 +34,6 @@ from tillhouse.llm.boosting import Boosted, fitted
 from tillhouse.llm.frames import appended, fresh_name, smallest, stored
 
 MAX_PAGES = 2000
-MAX_DEPTH = 200
 HASHED = 24
 
 # Element names of HTML by role.
@@ -84,6 +85,10 @@ class _Builder(HTMLParser):
         self.root = self.here = Block("html", frozenset(), None)
         self.all = [self.root]
         self.open: list[tuple[str, Block | None]] = []  # elements, with their block if they are one
+        # Where in ``open`` the elements of each name, those of ``SCOPES`` and those with a block are: nothing is searched.
+        self.at: defaultdict[str, list[int]] = defaultdict(list)
+        self.scopes: list[int] = []
+        self.blocks: list[int] = []
         self.silent: list[str] = []
         self.in_link = 0
 
@@ -104,10 +109,10 @@ class _Builder(HTMLParser):
             return
         if tag in ENDS_PARAGRAPH:
             self.implied(tag)
-        if tag in ("html", "body") and any(t == tag for t, _ in self.open):
+        if tag in ("html", "body") and self.at[tag]:
             return
         block = None
-        if tag in BLOCKS and self.here.depth < MAX_DEPTH:
+        if tag in BLOCKS:
             block = Block(tag, attribute_words(attrs), self.here)
             self.here.parts.append(block)
             self.here.children.append(block)
@@ -115,27 +120,34 @@ class _Builder(HTMLParser):
             self.here = block
         else:
             self.here.inline += 1
-            if tag in BLOCKS:
-                self.here.parts.append(" ")
             if tag == "a":
                 self.in_link += 1
+        for places in self.listed(tag, block):
+            places.append(len(self.open))
         self.open.append((tag, block))
 
+    def listed(self, tag, block):
+        return [self.at[tag], *([self.scopes] if tag in SCOPES else []), *([self.blocks] if block is not None else [])]
+
     def implied(self, tag):
         """Ends an open paragraph or list item that this element cannot stand in."""
-        like = ENDS_LIKE.get(tag, set())
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
-            if name == "p" or name in like:
-                self.end_from(k)
-                if not like:
-                    return
-            elif name in SCOPES:
-                return
+        scope = self.scopes[-1] if self.scopes else -1
+        if tag not in ENDS_LIKE:
+            if self.at["p"] and self.at["p"][-1] > scope:
+                self.end_from(self.at["p"][-1])
+            return
+        inside = []
+        for places in (self.at[name] for name in ("p", *ENDS_LIKE[tag])):
+            first = bisect_right(places, scope)
+            inside += places[first : first + 1]
+        if inside:
+            self.end_from(min(inside))
 
     def end_from(self, k):
         while len(self.open) > k:
             name, block = self.open.pop()
+            for places in self.listed(name, block):
+                places.pop()
             if block is not None:
                 self.here = block.parent
             elif name == "a":
@@ -154,13 +166,10 @@ class _Builder(HTMLParser):
             elif tag in ("body", "html"):
                 self.silent.clear()
             return
-        for k in range(len(self.open) - 1, -1, -1):
-            name, block = self.open[k]
-            if name == tag:
-                self.end_from(k)
-                return
-            if block is not None and tag not in BLOCKS:
-                return  # an inline end tag does not reach out of its block
+        own = self.at[tag][-1] if self.at[tag] else -1
+        block = self.blocks[-1] if self.blocks else -1
+        if own >= 0 and (tag in BLOCKS or own > block):  # an inline end tag does not reach out of its block
+            self.end_from(own)
 
     def handle_data(self, data):
         if not self.silent:
