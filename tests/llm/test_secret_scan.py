@@ -75,3 +75,11 @@ def test_digest_query_and_redaction(spark, sf_dir):
 def test_empty_table(spark):
     assert secret_spans(frame(spark, [], "doc_id long, text string")).count() == 0
     assert secret_scan.base_spans("") == []
+
+
+def test_a_label_behind_the_value_is_context_too():
+    for text in (f"{RANDOM} # stripe secret", f"run '{RANDOM}' is the access token", f"{RANDOM}\n(login)"):
+        found = secret_scan.novel_spans(text, [], secret_scan.Novelty())
+        assert [text[low:high] for _, low, high in found] == [RANDOM]
+    far = f"{RANDOM}{' x' * 80} secret"
+    assert secret_scan.novel_spans(far, [], secret_scan.Novelty()) == []

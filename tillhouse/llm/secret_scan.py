@@ -77,7 +77,7 @@ def novel_spans(text: str, taken: list[tuple[str, int, int]], novelty: Novelty)
         if not re.search("[0-9]", run) or not re.search("[A-Za-z]", run) or any(low < e and s < high for _, s, e in taken):
             continue
         before, after = text[max(0, low - AROUND) : low], text[high : high + AROUND]
-        if _SENSITIVE.search(before) and novelty.bits(before, run, after) >= MIN_BITS:
+        if (_SENSITIVE.search(before) or _SENSITIVE.search(after)) and novelty.bits(before, run, after) >= MIN_BITS:
             out.append(("novel", low, high))
     return out
 
