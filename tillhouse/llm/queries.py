@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import bpe, chat_quotes, html_text, secret_scan, simhash, substrings, toxicity, warc
+from tillhouse.llm import bpe, chat_quotes, conversation_repair, filter_audit, html_text, pii, secret_scan, simhash, substrings, toxicity, warc
 from tillhouse.llm.decontaminate import contamination
 from tillhouse.llm.exact_dedup import exact_groups
 from tillhouse.llm.frames import documents, table
@@ -95,6 +95,28 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs, ["text_sha256"]).drop("n_same")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.edited(conversation_repair.damaged(rows)), rows)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.masks(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return filter_audit.interactions(counts)
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.private_spans(documents(spark, sf_dir), carry=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"].isin(pii.KINDS))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_chat_quotes": op2_chat_quotes,
@@ -106,6 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_html_extraction": op9_html_extraction,
     "op10_simhash": op10_simhash,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_pii": op13_pii,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -213,4 +238,102 @@ ORACLE: dict[str, str] = {
             doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list(v ORDER BY i) AS t FROM (
+                SELECT i, list_reduce(list_concat([i::BIGINT], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+                FROM range(256) r(i))
+        ), raw AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                list_transform(string_split(concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')), ''), lambda ch: unicode(ch)::BIGINT) AS bytes
+            FROM conversations
+        ), hit AS (
+            SELECT raw.*, xor(list_reduce(list_concat([4294967295::BIGINT], bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+            FROM raw, crc
+        ), harmed AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS again
+            FROM hit WHERE kind <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER w AS n, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS before,
+                right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+            FROM harmed WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))
+        ), m AS (
+            SELECT *, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM placed
+        ), steps(first, last, letter, role, fee) AS (
+            VALUES ('', 's', 'K', 's', 0), ('', 'u', 'K', 'u', 0), ('s', 'u', 'K', 'u', 0), ('u', 'a', 'K', 'a', 0), ('a', 'u', 'K', 'u', 0),
+                ('', 'u', 'R', NULL, 3), ('s', 'u', 'R', NULL, 3), ('u', 'a', 'R', NULL, 3), ('a', 'u', 'R', NULL, 3)
+        ), adds(first, last, letters, body) AS (
+            VALUES ('', '', '', []::VARCHAR[]), ('s', 's', '', []), ('u', 'u', '', []), ('a', 'a', '', []),
+                ('', 'u', 'I', ['user:']), ('s', 'u', 'I', ['user:']), ('u', 'a', 'I', ['assistant:']), ('a', 'u', 'I', ['user:']),
+                ('', 'a', 'II', ['user:', 'assistant:']), ('s', 'a', 'II', ['user:', 'assistant:']),
+                ('u', 'u', 'II', ['assistant:', 'user:']), ('a', 'a', 'II', ['user:', 'assistant:'])
+        ), walk AS (
+            SELECT conv_id, 0::BIGINT AS n, ''::VARCHAR AS state, 0::BIGINT AS cost, ''::VARCHAR AS audit, []::VARCHAR[] AS body
+            FROM (SELECT DISTINCT conv_id FROM m)
+            UNION ALL
+            SELECT conv_id, n, state, cost, audit, body FROM (
+                SELECT conv_id, n, state, cost, audit, body, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS best FROM (
+                    SELECT w.conv_id, m.n, w.state, w.cost + 4 AS cost, w.audit || 'D' AS audit, w.body
+                    FROM walk w JOIN m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.n = w.n + 1
+                    UNION ALL
+                    SELECT w.conv_id, m.n, s.last, w.cost + 3 * length(a.letters) + s.fee + CASE WHEN m.fault = 't' THEN 3 ELSE 0 END,
+                        w.audit || a.letters || s.letter,
+                        list_concat(list_concat(w.body, a.body), [concat(CASE WHEN s.letter = 'K' THEN m.role WHEN s.last = 'u' THEN 'user' ELSE 'assistant' END, ':', m.text)])
+                    FROM walk w JOIN m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.n = w.n + 1
+                        JOIN adds a ON a.first = w.state JOIN steps s ON s.first = a.last AND (s.letter = 'R' OR s.role = m.initial)
+                    WHERE m.fault NOT IN ('b', 'd')
+                )
+            ) WHERE best = 1
+        ), done AS (
+            SELECT w.conv_id, cost + 3 * length(letters) AS cost, audit || letters AS audit, list_concat(w.body, a.body) AS body
+            FROM walk w JOIN (SELECT conv_id, max(n) AS n FROM m GROUP BY ALL) e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.n = w.n
+                JOIN adds a ON a.first = w.state AND a.last IN ('', 'a')
+            QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY cost + 3 * length(letters), audit || letters) = 1
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+                count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                count(*) FILTER (n > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM m GROUP BY conv_id
+        )
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+            coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+            sha256(coalesce(array_to_string(body, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+            LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
+    "op12_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+            FROM documents
+        ), l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+        f AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+                len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text),
+                regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails
+            FROM d LEFT JOIN l USING (doc_id)
+        ), m AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+        s AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 3, 4, 5]) AS k),
+        p AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.k, b.k, c.k, d.k, e.k] AS ks
+            FROM s a, s b, s c, s d, s e
+            WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5
+        ), run AS (
+            SELECT part, filter_order, step, n, good, toxic, ks[step] AS k, fails[ks[step]] AS here,
+                len(list_filter(ks[1 : step - 1], lambda j: fails[j])) > 0 AS gone, len(list_filter(fails, lambda b: b)) = 1 AS lone
+            FROM m, p, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+        ), t AS (
+            SELECT part, filter_order, step, k, coalesce(sum(n) FILTER (NOT here AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed,
+                coalesce(sum(n) FILTER (here AND gone), 0) AS redundant, coalesce(sum(n) FILTER (here AND lone), 0) AS unique_fails,
+                coalesce(sum(n) FILTER (here AND NOT gone AND good), 0) AS good_lost, coalesce(sum(n) FILTER (here AND NOT gone AND toxic), 0) AS toxic_lost
+            FROM run GROUP BY ALL
+        )
+        SELECT part, filter_order, step, substr(filter_order, step, 1) AS filter, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+            unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley
+        FROM t
+    """,
 }
