@@ -15,13 +15,16 @@ from tillhouse.sources.csv_files import (
     RESCUED,
     bronze,
     bronze_schema,
+    header_lines,
     infer_schema,
     ingest_csv,
     read_csv,
     read_csv_stream,
     split_rescued,
+    text_columns,
     write_csv,
 )
+from tillhouse.sources.inference import column_facts, merged_facts, schema_of
 from tillhouse.sources.storage import checked, publish, read_table, scratch, shared_dir, stored
 from tillhouse.streaming.refresh import append_to
 
@@ -165,3 +168,58 @@ def test_blank_lines_before_the_header_lose_no_row(spark, tmp_path):
     streamed = read_table(spark, out, bronze_schema(spark, schema))
     for df in (read_csv(spark, str(tmp_path), schema), streamed):
         assert rows(df.select("City", "Country", RESCUED)) == [(city, "here", None) for city in sorted(starts)]
+
+
+def _types(schema):
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def test_types_are_inferred_by_name_over_any_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("City,Age,Day\nRome,1,2024-01-01\nBonn,,2024-02-30\nOslo,3,\n".replace("2024-02-30", "2024-02-28"))
+    (tmp_path / "b.csv").write_text("Age,City,Day,Note,Void\n7,Kyiv,2024-03-01,so,\n")
+    (tmp_path / "c.csv").write_text("\n")
+    schema = infer_schema(spark, str(tmp_path))
+    assert dict(_types(schema)) == {"City": "string", "Age": "int", "Day": "date", "Note": "string", "Void": "string"}
+    got = {r.City: (r.Age, str(r.Day), r.Note) for r in read_csv(spark, str(tmp_path), schema).collect()}
+    assert got == {"Rome": (1, "2024-01-01", None), "Bonn": (None, "2024-02-28", None), "Oslo": (3, "None", None), "Kyiv": (7, "2024-03-01", "so")}
+
+
+def test_types_widen_and_never_narrow_whatever_the_order(spark, tmp_path):
+    texts = {
+        "a": "n,big,huge,part,day,flag,mixed\n1,1,1,1,2024-01-01,true,1\n",
+        "b": "n,big,huge,part,day,flag,mixed\n-2,3000000000,99999999999999999999,1e3,2024-01-01T10:00:00,FALSE,x\n",
+        "c": "MIXED,flag,n\n2,,7\n",
+    }
+    facts = {}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+        facts[name] = column_facts(text_columns(spark, str(tmp_path / f"{name}.csv")))
+    want = {"n": "int", "big": "bigint", "huge": "decimal(38,0)", "part": "double", "day": "timestamp", "flag": "boolean", "mixed": "string"}
+    for order in ("abc", "bac", "acb"):
+        merged = facts[order[0]]
+        for name in order[1:]:
+            merged = merged_facts(merged, facts[name])
+        assert _types(schema_of(merged)) == list(want.items())
+    assert _types(infer_schema(spark, str(tmp_path / "a.csv"), known=facts["b"])) == list(want.items())
+    with pytest.raises(ValueError, match="no file has a header"):
+        (tmp_path / "empty").mkdir()
+        (tmp_path / "empty/e.csv").write_text("")
+        infer_schema(spark, str(tmp_path / "empty"))
+
+
+def test_headers_are_read_by_executors(spark, tmp_path, monkeypatch):
+    """The driver opens no file: it gets one row per different header, over hundreds of files."""
+    for i in range(300):
+        names = "A,B" if i % 3 else "B,A,C"
+        (tmp_path / f"f{i:03}.csv").write_text(f"{names}\n" + f"{i},{i}" + (",x\n" if i % 3 == 0 else "\n"))
+    calls = []
+    client = type(spark.sparkContext._gateway._gateway_client)
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda self, command, *a, **b: calls.append(command) or send(self, command, *a, **b))
+    found = header_lines(spark, str(tmp_path))
+    assert {h: len(f) for h, f in found.items()} == {("A", "B"): 200, ("B", "A", "C"): 100}
+    assert len(calls) < 300 and not any("\nopen\n" in c for c in calls)
+    monkeypatch.undo()
+    schema = spark.createDataFrame([], "A INT, B INT").schema
+    got = read_csv(spark, str(tmp_path), schema)
+    assert got.where("A = B").count() == 300 and got.where(f"{RESCUED} is not null").count() == 100

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column
@@ -26,11 +29,44 @@ def xx_key(*cols: Column | str) -> Column:
     return F.xxhash64(*[_col(c) for c in cols])
 
 
+#: Hexadecimal digits of a digest that make a surrogate: 60 bits.
+SK_DIGITS = 15
+
+_exceptions: ContextVar[dict[str, int]] = ContextVar("key exceptions", default={})
+
+
+@contextmanager
+def key_exceptions(known: dict[str, int]) -> Iterator[None]:
+    """Inside, ``sk60`` gives the natural keys with these digests the surrogates named here.
+
+    For the few keys whose hash another key of the same table has; see :mod:`tillhouse.plans.clashes`. Plans take the
+    exceptions in when they are built, batches and streams alike.
+    """
+    token = _exceptions.set(dict(known))
+    try:
+        yield
+    finally:
+        _exceptions.reset(token)
+
+
+def natural_digest(*cols: Column | str) -> Column:
+    """md5 over separated, null-marked parts: names a natural key."""
+    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_PART)) for c in cols]
+    return F.md5(F.concat_ws(PART_SEPARATOR, *parts))
+
+
+def hashed_sk(digest: Column) -> Column:
+    """The surrogate of a digest, but for exceptions."""
+    return F.conv(F.substring(digest, 1, SK_DIGITS), 16, 10).cast("bigint")
+
+
 def sk60(*cols: Column | str) -> Column:
     """Surrogate BIGINT: the first 60 bits of an md5 over separated, null-marked parts."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_PART)) for c in cols]
-    digest = F.md5(F.concat_ws(PART_SEPARATOR, *parts))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    digest, known = natural_digest(*cols), _exceptions.get()
+    if not known:
+        return hashed_sk(digest)
+    named = F.create_map(*(F.lit(x) for pair in sorted(known.items()) for x in pair))
+    return F.coalesce(F.element_at(named, digest), hashed_sk(digest))
 
 
 def fk60(*path: Column | str, required: int = 1) -> Column:

@@ -137,14 +137,10 @@ def _with_employee(heads: DataFrame, employees: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employees: DataFrame) -> DataFrame:
-    """The fact from stored silver tables.
-
-    Order and line already carry the surrogates of every dimension but the employee version, so only
-    ``dim_employee`` is joined, and that to the order heads. The lines are shuffled once. Lines and payments carry
-    ``order_src_id`` beside their own columns and are joined on it; the 64-bit ``order_id`` is no join key.
-    """
-    heads = _with_employee(orders.join(payment_per_order(payment), on="order_src_id", how="left"), employees).select(
+def order_heads(orders: DataFrame, payment: DataFrame, employees: DataFrame) -> DataFrame:
+    """What an order gives each of its lines: surrogates, first payment, date. One row per order."""
+    heads = orders.join(payment_per_order(payment), on="order_src_id", how="left")
+    return _with_employee(heads, employees).select(
         "order_src_id",
         F.col("customer_id").alias("customer_sk"),
         F.col("store_id").alias("store_sk"),
@@ -155,10 +151,23 @@ def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employee
         "source_system",
         "source_entity",
     )
-    rows = _attach(items, heads, "order_src_id", _HEAD)
+
+
+def finished(rows: DataFrame) -> DataFrame:
+    """The fact from lines with the columns of their order's head."""
     return _finish(rows.withColumn("product_sk", F.col("product_id")))
 
 
+def fact_sales(items: DataFrame, orders: DataFrame, payment: DataFrame, employees: DataFrame) -> DataFrame:
+    """The fact from stored silver tables.
+
+    Order and line already carry the surrogates of every dimension but the employee version, so only
+    ``dim_employee`` is joined, and that to the order heads. The lines are shuffled once. Lines and payments carry
+    ``order_src_id`` beside their own columns and are joined on it; the 64-bit ``order_id`` is no join key.
+    """
+    return finished(_attach(items, order_heads(orders, payment, employees), "order_src_id", _HEAD))
+
+
 def fact_sales_joined(
     items: DataFrame, orders: DataFrame, payment: DataFrame, dims: dict[str, DataFrame]
 ) -> DataFrame:

@@ -149,7 +149,7 @@ def store(lines: DataFrame, rules: Rules = PATH, places: DataFrame | None = None
     )
 
 
-_CUSTOMER = ["first_name", "last_name", "gender", "age", "phone_number", "postal_code"]
+CUSTOMER_ATTRIBUTES = ["first_name", "last_name", "gender", "age", "phone_number", "postal_code"]
 
 
 def customer(lines: DataFrame, rules: Rules = PATH, places: DataFrame | None = None) -> DataFrame:
@@ -160,9 +160,9 @@ def customer(lines: DataFrame, rules: Rules = PATH, places: DataFrame | None = N
     place = list(CITY_PATH) if rules.by_path else ["city_name", "state_name"]
     # the e-mail NULL is kept as one customer, as any distinct-by-email would
     table = (
-        rows.select("email", "order_date", *_CUSTOMER, *place)
+        rows.select("email", "order_date", *CUSTOMER_ATTRIBUTES, *place)
         .groupBy("email")
-        .agg(F.max(F.struct("order_date", *_CUSTOMER, *place)).alias("_row"))
+        .agg(F.max(F.struct("order_date", *CUSTOMER_ATTRIBUTES, *place)).alias("_row"))
         .select("email", "_row.*")
     )
     if rules.by_path:

@@ -3,31 +3,43 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tillhouse.functions.clean import with_audit
 from tillhouse.functions.fixed import (
+    OFFLINE,
     OFFLINE_FILES_PER_TRIGGER,
     OFFLINE_TABLE,
+    ONLINE,
     ONLINE_FILES_PER_TRIGGER,
     ONLINE_TABLE,
     TABLE_PROPERTIES,
 )
+from tillhouse.functions.keys import key_exceptions
 from tillhouse.operators.dictionary import source_dictionary
 from tillhouse.operators.lookup import require_unique
-from tillhouse.plans.gold import audited, dimensions, fact
-from tillhouse.plans.lines import HEADER, sales_lines
+from tillhouse.plans.clashes import distinct_keys, load, resolve
+from tillhouse.plans.fact_table import FactTable
+from tillhouse.plans.gold import audited, dimensions
+from tillhouse.plans.lines import HEADER, channel, sales_lines
 from tillhouse.plans.silver import (
     CITY_PATH,
+    CUSTOMER_ATTRIBUTES,
     EMPLOYEE_KEYS,
     EMPLOYEE_TRACK,
     GEOGRAPHY_LEVELS,
+    LEVELS,
+    METHOD_KEY,
     PRODUCT_LEVELS,
     PRODUCT_PATH,
+    STORE_KEY,
     customer,
     employee_changes,
     employee_history,
@@ -40,10 +52,12 @@ from tillhouse.plans.silver import (
 )
 from tillhouse.sources.channels import OFFLINE_CSV, ONLINE_CSV
 from tillhouse.sources.csv_files import RESCUED, bronze_schema, infer_schema, ingest_csv, zone_free
-from tillhouse.sources.storage import exists, name_folder, publish, read_table, read_table_stream, stored
-from tillhouse.streaming.cdc import HistoryTable
+from tillhouse.sources.storage import exists, finished_scratch, name_folder, publish, read_table, read_table_stream, stored
+from tillhouse.streaming.cdc import ChangeTable, FoldTable
+from tillhouse.streaming.cells import name_cells
 from tillhouse.streaming.headers import HeaderTable
-from tillhouse.streaming.refresh import append_to, merge_into
+from tillhouse.streaming.history import VersionTable
+from tillhouse.streaming.refresh import CONTINUOUS, TRIGGERED, Running, append_to, merge_into, side_by_side
 
 PRODUCT_TABLES = ["categories", "sub_categories", "products"]
 DIMENSIONS = ["customer", "employee", "store", "product", "payment_method", "date"]
@@ -67,7 +81,7 @@ COMMENTS = {
     "fact_sales": "Sales, one row per order line",
 }
 STREAMED = ["orders_items", "payment"]
-#: Batches of changes after which a refresh folds their log.
+#: Batches of changes after which their log is folded.
 COMPACT_AFTER = 32
 #: Columns that must name one row of a dimension.
 UNIQUE_KEYS = {
@@ -80,6 +94,26 @@ UNIQUE_KEYS = {
 _FULL_KEY = ("order_src_id",)
 
 
+def _shops(rows: DataFrame) -> DataFrame:
+    return channel(rows, OFFLINE).select("source_system", *STORE_KEY).distinct()
+
+
+def _buyers(rows: DataFrame) -> DataFrame:
+    """The latest row of each e-mail address; the missing address is one of them."""
+    row = F.max(F.struct("order_date", *CUSTOMER_ATTRIBUTES, *CITY_PATH)).alias("_row")
+    return channel(rows, ONLINE).groupBy("source_system", "email").agg(row).select("source_system", "email", "_row.*")
+
+
+#: Keys and folds of what is kept of the lines for the dictionaries.
+FOLDS = {
+    "product_paths": (PRODUCT_PATH, partial(source_dictionary, keys=list(PRODUCT_PATH))),
+    "city_paths": (CITY_PATH, partial(source_dictionary, keys=list(CITY_PATH))),
+    "methods": (METHOD_KEY, partial(source_dictionary, keys=list(METHOD_KEY))),
+    "shops": (STORE_KEY, _shops),
+    "buyers": (("email",), _buyers),
+}
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """One generation of the warehouse under ``root``.
@@ -117,13 +151,18 @@ class Warehouse:
             self.spark.createDataFrame([(inferred.json(),)], "value string").coalesce(1).write.mode("overwrite").text(kept)
         return StructType.fromJson(json.loads(self.spark.read.text(kept).first()[0]))
 
-    def ingest(self) -> None:
+    def _ingesting(self, mode: str = TRIGGERED, interval: str = "1 minute") -> dict[str, Callable[[], StreamingQuery]]:
         """Landing files to bronze, each file once."""
-        for table, folder, files in [
-            (ONLINE_TABLE, self.online_dir, self.online_files),
-            (OFFLINE_TABLE, self.offline_dir, self.offline_files),
-        ]:
-            ingest_csv(self.spark, folder, self._schema(table), self.path("bronze", table), self._checkpoint(table), files)
+        channels = [(ONLINE_TABLE, self.online_dir, self.online_files), (OFFLINE_TABLE, self.offline_dir, self.offline_files)]
+        return {
+            table: partial(
+                ingest_csv, self.spark, folder, self._schema(table), self.path("bronze", table), self._checkpoint(table), files, mode, interval
+            )
+            for table, folder, files in channels
+        }
+
+    def ingest(self) -> None:
+        side_by_side(self._ingesting().values())
 
     def _bronze_schema(self, table: str) -> StructType:
         return bronze_schema(self.spark, self._schema(table))
@@ -151,18 +190,81 @@ class Warehouse:
     def headers(self) -> HeaderTable:
         return HeaderTable(self.path("silver", "order_headers"), schema=self.lines().select(*HEADER).schema)
 
-    def history(self) -> HistoryTable:
+    def history(self) -> VersionTable:
         changes = employee_changes(self.lines()).schema
-        return HistoryTable(self.path("silver", "employee_changes"), EMPLOYEE_KEYS, "update_dt", EMPLOYEE_TRACK, schema=changes)
+        return VersionTable(self.path("silver", "employee_changes"), EMPLOYEE_KEYS, "update_dt", schema=changes, track=EMPLOYEE_TRACK)
 
-    def stream_facts(self) -> None:
-        """New lines to orders, order items, payments and employee history."""
+    def folded(self) -> dict[str, FoldTable]:
+        """What dictionaries need of the lines, kept up batch by batch."""
+        schema = self.lines().schema
+        return {
+            name: FoldTable(self.path("silver", f"{name}_log"), list(keys), schema=schema, fold=fold)
+            for name, (keys, fold) in FOLDS.items()
+        }
+
+    def _processing(self, mode: str = TRIGGERED, interval: str = "1 minute") -> dict[str, Callable[[], StreamingQuery]]:
+        """New lines to order items, payments, order headers and employee history."""
+        out: dict[str, Callable[[], StreamingQuery]] = {}
         for name, df in self._streamed(self.line_stream()).items():
-            append_to(df, self.path("silver", name), self._checkpoint(name))
-        merge_into(self.line_stream().select(*HEADER), self.headers().merge, self._checkpoint("orders"))
-        merge_into(employee_changes(self.line_stream()), self.history().merge, self._checkpoint("employee_history"))
-        for table in (self.headers(), self.history()):
-            table.compact(self.spark, COMPACT_AFTER)
+            out[name] = partial(append_to, df, self.path("silver", name), self._checkpoint(name), mode, interval)
+        kept_up = {
+            "orders": (self.line_stream().select(*HEADER), self.headers()),
+            "employee_history": (employee_changes(self.line_stream()), self.history()),
+        }
+        for name, (df, table) in kept_up.items():
+            out[name] = partial(merge_into, df, partial(self._keep_up, [table]), self._checkpoint(name), mode, interval)
+        return out
+
+    def _folding(self, mode: str = TRIGGERED, interval: str = "1 minute") -> dict[str, Callable[[], StreamingQuery]]:
+        """New lines to dictionaries; these know all keys before a fact has them."""
+        folds = partial(self._keep_up, list(self.folded().values()))
+        return {"dictionaries": partial(merge_into, self.line_stream(), folds, self._checkpoint("dictionaries"), mode, interval)}
+
+    def stream_facts(self) -> None:
+        side_by_side(self._folding().values())
+        with key_exceptions(self._resolve()):
+            side_by_side(self._processing().values())
+
+    def start(self, interval: str = "1 minute") -> Running:
+        """Take in files for as long as it runs; :meth:`publish_all` brings the named tables up to date at any time.
+
+        A key that clashes with an older one while this runs fails the check of its dimension when published; a restart
+        does not help its facts, only a new root does.
+        """
+        with key_exceptions(self._resolve()):
+            work = {**self._folding(CONTINUOUS, interval), **self._processing(CONTINUOUS, interval)}
+        return Running({**self._ingesting(CONTINUOUS, interval), **work})
+
+    def _keep_up(self, tables: list[ChangeTable], batch: DataFrame, batch_id: int) -> None:
+        def one(table: ChangeTable) -> None:
+            table.merge(batch, batch_id)
+            if batch_id % COMPACT_AFTER == COMPACT_AFTER - 1:
+                table.compact(self.spark)
+
+        side_by_side(partial(one, table) for table in tables)
+
+    def _natural_keys(self, upto: int | None = None) -> list[DataFrame]:
+        """Distinct natural keys of all tables with surrogates, as folded so far or up to a batch."""
+        logs = {n: t.read(self.spark) if upto is None else t.upto(self.spark, upto) for n, t in self.folded().items()}
+        levels = [(level, logs["product_paths"]) for level in PRODUCT_LEVELS] + [(level, logs["city_paths"]) for level in GEOGRAPHY_LEVELS]
+        found = [distinct_keys(level, rows, list(LEVELS[level].path)) for level, rows in levels]
+        named = [("store", "shops", STORE_KEY), ("customer", "buyers", ("email",)), ("payment_method", "methods", METHOD_KEY)]
+        return found + [distinct_keys(kind, logs[log], list(keys)) for kind, log, keys in named]
+
+    def _resolve(self) -> dict[str, int]:
+        """Give keys that clash with older ones a surrogate of their own, before any fact has it."""
+        path, seen = f"{self.root}/keys/exceptions", f"{self.root}/keys/checked"
+        log = self.folded()["product_paths"]
+        now, last = log.last_batch(self.spark), None
+        if now is None:
+            return {}
+        if exists(self.spark, f"{seen}/_SUCCESS"):
+            last = self.spark.read.schema("batch bigint").parquet(seen).first()["batch"]
+        if last == now:
+            return load(self.spark, path)
+        found = resolve(self._natural_keys(), [] if last is None else self._natural_keys(last), path)
+        self.spark.range(1).select(F.lit(now).cast("bigint").alias("batch")).write.mode("overwrite").parquet(seen)
+        return found
 
     def _streamed(self, lines: DataFrame) -> dict[str, DataFrame]:
         return {"orders_items": with_audit(orders_items(lines, _FULL_KEY)), "payment": with_audit(payment(lines, _FULL_KEY))}
@@ -172,31 +274,29 @@ class Warehouse:
         return orders(self.headers().read(self.spark))
 
     def dictionaries(self) -> dict[str, DataFrame]:
-        """Silver tables that are rebuilt from the snapshot.
+        """Silver tables of distinct things, from the folded logs: bronze is not read again.
 
-        Each hierarchy reads the lines once, for its deepest level; the levels above are rolled up from that.
+        Each hierarchy is kept for its deepest level; the levels above are rolled up from that.
         """
-        lines = self.lines()
-        products = stored(source_dictionary(lines, list(PRODUCT_PATH)), "product-paths")
-        places = stored(source_dictionary(lines, list(CITY_PATH)), "city-paths")
-        goods = hierarchy(products, PRODUCT_LEVELS)
+        logs = {name: table.read(self.spark) for name, table in self.folded().items()}
+        goods = hierarchy(stored(logs["product_paths"], "product-paths"), PRODUCT_LEVELS)
         return {
             "categories": goods["category"],
             "sub_categories": goods["sub_category"],
             "products": goods["product"],
-            **hierarchy(places, GEOGRAPHY_LEVELS),
-            "store": store(lines),
-            "customer": customer(lines),
-            "payment_methods": payment_methods(lines),
+            **hierarchy(stored(logs["city_paths"], "city-paths"), GEOGRAPHY_LEVELS),
+            "store": store(logs["shops"]),
+            "customer": customer(logs["buyers"]),
+            "payment_methods": payment_methods(logs["methods"]),
         }
 
     def employee_history(self) -> DataFrame:
         """Versions from the change log taken in so far."""
         return employee_history(self.history().read(self.spark))
 
-    def _publish(self, layer: str, name: str, df: DataFrame, balanced: bool = True) -> None:
+    def _publish(self, layer: str, name: str, df: DataFrame, balanced: bool = True, check=None) -> None:
         path = self.path(layer, name)
-        publish(df, f"{layer}.{name}", path, COMMENTS.get(name), TABLE_PROPERTIES[layer], balanced)
+        publish(df, f"{layer}.{name}", path, COMMENTS.get(name), TABLE_PROPERTIES[layer], balanced, check)
 
     def silver(self) -> dict[str, DataFrame]:
         """All silver tables as stored."""
@@ -213,19 +313,31 @@ class Warehouse:
 
     def refresh(self) -> dict[str, DataFrame]:
         """Take in new files and bring every table up to date. Returns the gold tables."""
+        with finished_scratch(self.spark):
+            self.ingest()
+            self.stream_facts()
+            return self.publish_all()
+
+    def publish_all(self) -> dict[str, DataFrame]:
+        """Every table from what has been taken in so far. A key that names two rows stops the move of its table."""
+        with key_exceptions(load(self.spark, f"{self.root}/keys/exceptions")):
+            return self._publish_all()
+
+    def _publish_all(self) -> dict[str, DataFrame]:
         for layer in ("bronze", "silver", "gold"):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
-        self.ingest()
-        self.stream_facts()
         self._name_streamed()
-        for name, df in self.dictionaries().items():
-            self._publish("silver", name, with_audit(df))
-        self._publish("silver", "employee_history", self.employee_history())
-        self._publish("silver", "orders", with_audit(self.orders()), balanced=False)
+        headers = self.headers()
+        upto = headers.last_batch(self.spark)
+        work = [partial(self._publish, "silver", name, with_audit(df)) for name, df in self.dictionaries().items()]
+        work.append(partial(self._publish, "silver", "employee_history", self.employee_history()))
+        work.append(partial(self._publish, "silver", "orders", with_audit(self.orders()), balanced=False))
+        side_by_side(work)
         tables = self.silver()
-        for name, df in dimensions(tables).items():
-            self._publish("gold", f"dim_{name}", audited(name, df))
-            require_unique(self.spark.read.table(f"gold.dim_{name}"), UNIQUE_KEYS[name])
-        dims = {name: self.spark.read.table(f"gold.dim_{name}") for name in DIMENSIONS}
-        self._publish("gold", "fact_sales", with_audit(fact(tables, dims)), balanced=False)
+        side_by_side(
+            partial(self._publish, "gold", f"dim_{name}", audited(name, df), check=partial(require_unique, key=UNIQUE_KEYS[name]))
+            for name, df in dimensions(tables).items()
+        )
+        store, months = FactTable(self.path("gold", "fact_sales")).refresh(tables, self.spark.read.table("gold.dim_employee"), headers, upto)
+        name_cells(self.spark, "gold.fact_sales", store, months, COMMENTS["fact_sales"], TABLE_PROPERTIES["gold"])
         return {name: self.spark.read.table(f"gold.{name}") for name in [*(f"dim_{d}" for d in DIMENSIONS), "fact_sales"]}

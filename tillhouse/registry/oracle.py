@@ -63,9 +63,10 @@ STORE = ("store_src_id", "store_name", *CITY)
 METHOD = ("payment_method", "payment_provider")
 
 
-def _with(tables: dict[str, str], body: str) -> str:
+def _with(tables: dict[str, str], body: str, once: tuple[str, ...] = ()) -> str:
+    """``once`` names tables that are built one time, which keeps the other engine's plan simple."""
     ctes = {"online": ONLINE, "offline": OFFLINE, "raw_lines": _RAW, "lines": _CLEAN, **tables}
-    return "with " + ",\n".join(f"{n} as ({q})" for n, q in ctes.items()) + "\n" + body
+    return "with " + ",\n".join(f"{n} as {'materialized ' if n in once else ''}({q})" for n, q in ctes.items()) + "\n" + body
 
 
 def _sk(*cols: str) -> str:
@@ -272,6 +273,46 @@ def _refresh() -> str:
     return _with({}, " union all ".join(parts))
 
 
+def _refresh_star() -> str:
+    sizes = {
+        "categories": CATEGORY, "sub_categories": SUB_CATEGORY, "products": PRODUCTS, "country": COUNTRY, "region": REGION,
+        "state": STATE, "city": CITIES, "store": STORES, "customer": CUSTOMERS, "payment_methods": METHODS,
+        "dim_customer": CUSTOMERS, "dim_employee": EMPLOYEES, "dim_store": STORES, "dim_product": PRODUCTS,
+        "dim_payment_method": METHODS, "fact_sales": "select * from lines",
+    }
+    parts = [f"select '{n}' as table_name, count(*) as n_full, 0::bigint as n_different from ({q})" for n, q in sizes.items()]
+    # the online dates of this query are moved by up to two days
+    moved = "min(order_date - to_days(case when source_system = 'online' then cast(payment_id_raw as bigint) % 3 else 0 end::int))::date"
+    last = moved.replace("min(", "max(", 1)
+    parts.append(f"select 'dim_date', {last} - {moved} + 1, 0 from lines")
+    return _with({}, " union all ".join(parts), once=("lines",))
+
+
+def _late() -> str:
+    """Three batches of events, each judged under the watermark of those before it."""
+    steps = {
+        "bounds": "select min(ts) as low, max(ts) as high from events",
+        "parts": """select event_id, user_id, ts, case when event_id % 10 = 0 then 2 else
+ cast(floor(3 * (epoch_us(ts) - epoch_us(low)) / (epoch_us(high) - epoch_us(low) + 1)) as int) end as part from events, bounds""",
+    }
+    before = "select null::bigint as user_id, null::timestamp as ts where false"
+    for n in range(3):
+        mark = f"(select max(ts) - interval 1 day from parts where part < {n})"
+        steps[f"fine_{n}"] = f"select * from parts where part = {n} and ({mark} is null or ts > {mark})"
+        steps[f"taken_{n}"] = f"""select user_id, min(ts) as ts from fine_{n} where user_id not in
+ (select user_id from ({before}) where ts > {mark} - interval 1 day) group by user_id"""
+        before += f" union all select user_id, ts from taken_{n}"
+    judged = " union all ".join(
+        f"""select {n} as cdc_batch, user_id, case when f.event_id is null then 'late'
+ when row_number() over (partition by user_id, f.event_id is null order by p.ts) = 1 and user_id in (select user_id from taken_{n})
+ then 'accepted' else 'repeat' end as status from parts p left join (select event_id from fine_{n}) f using (event_id) where part = {n}"""
+        for n in range(3)
+    )
+    ctes = ", ".join(f"{name} as materialized ({sql})" for name, sql in steps.items())
+    return f"""with {ctes} select cast(cdc_batch as int) as cdc_batch, status, count(*) as n_rows, count(distinct user_id) as n_users
+ from ({judged}) group by all"""
+
+
 _MD5_OF_PAYMENT = "(select *, md5(source_system || payment_id_raw) as payment_src_id from lines)"
 
 ORACLE: dict[str, str] = {
@@ -407,6 +448,7 @@ ORACLE: dict[str, str] = {
     ),
     "fact_sales": _with(_FACT_TABLES, _text_keys(FACT, *_FACT_KEYS)),
     "fact_sales_from_tables": _with(_FACT_TABLES, _text_keys(FACT, *_FACT_KEYS)),
+    "fact_sales_bucketed": _with(_FACT_TABLES, _text_keys(FACT, *_FACT_KEYS), once=("lines",)),
     "fact_sales_star_joins": _with(_FACT_TABLES, _text_keys(FACT, *_FACT_KEYS)),
     "sales_report": _with(
         {},
@@ -445,14 +487,27 @@ ORACLE: dict[str, str] = {
     "stream_dedup_watermark": "select distinct user_id from events",
     "stream_static_orders": _with({}, _text_keys(ORDERS, *_ORDER_KEYS)),
     "stream_static_items": _with({}, ITEMS),
-    "stream_static_payment": _with({}, PAYMENT),
+    "stream_static_payment": _with({}, PAYMENT, once=("lines",)),
     "stream_enrich": _with(
         {"customers": CUSTOMERS},
         f"""select source_system, payment_id_raw, lines.email, sales, payment_method, payment_provider,
  {_fk(*METHOD, required=2)} as method_id, cast(customer_id as varchar) as customer_id, customers.age from lines left join customers
  on lines.email = customers.email""".replace("select source_system", "select lines.source_system"),
+        once=("lines", "customers"),
     ),
     "refresh_incremental_equals_full": _refresh(),
+    "refresh_star_equals_full": _refresh_star(),
+    "scd2_touched_cells": EVENTS_HISTORY,
+    "csv_infer_by_name": """select 'o_orderkey' as name, 'bigint' as type, count(*) as n from orders
+ union all select 'o_custkey', 'int', count(*) from orders union all select 'day', 'date', count(*) from orders
+ union all select 'o_orderpriority', 'string', count(*) from orders where o_orderkey % 2 = 0
+ union all select 'note', 'string', count(*) from orders where o_orderkey % 2 = 1""",
+    "stream_dedup_late": _late(),
+    "eda_filter_clustered": _with(
+        {},
+        """select customer_name, customer_surname, City from online where customer_name = 'BUILDING'
+ and customer_surname = 'Customer#000000027'""",
+    ),
     "eda_count_distinct": _with(
         {}, "select count(distinct payment_id) as n_payment_id, count(distinct Order_ID) as n_order_id from online"
     ),

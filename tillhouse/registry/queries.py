@@ -19,6 +19,7 @@ from tillhouse.operators.dedup import dedup
 from tillhouse.operators.dictionary import source_dictionary, union_sources
 from tillhouse.operators.lookup import lookup, lookup_path
 from tillhouse.plans import eda, gold, silver
+from tillhouse.plans.bucketed import joined_buckets, write_buckets
 from tillhouse.plans.lines import HEADER, channel, sales_lines
 from tillhouse.plans.rules import LEAF, PATH, Rules
 from tillhouse.plans.warehouse import Warehouse
@@ -36,11 +37,13 @@ from tillhouse.sources.csv_files import (
     with_lineage,
     write_csv,
 )
-from tillhouse.sources.storage import publish, read_table, read_table_stream, scratch, stored
+from tillhouse.sources.storage import publish, read_table, read_table_stream, scratch, stored, write_clustered
 from tillhouse.streaming.cdc import CurrentTable, HistoryTable
 from tillhouse.streaming.dedup import dedup_stream
 from tillhouse.streaming.enrich import enrich_stream
 from tillhouse.streaming.headers import HeaderTable
+from tillhouse.streaming.history import VersionTable
+from tillhouse.streaming.late import BoundedDedup
 from tillhouse.streaming.refresh import append_to, merge_into
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +221,22 @@ def csv_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.inline(F.array(*described)))
 
 
+@query
+def csv_infer_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types over files whose headers differ in order, columns and values, with the values read under them."""
+    rows = fixture.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderpriority")
+    path = scratch(spark, "infer-by-name")
+    write_csv(rows.filter("o_orderkey % 2 = 0"), f"{path}/a")
+    big = F.col("o_orderkey").cast("bigint") * 3_000_000_000
+    write_csv(rows.filter("o_orderkey % 2 = 1").select("day", F.lit("late").alias("note"), big.alias("O_ORDERKEY"), "o_custkey"), f"{path}/b")
+    schema = infer_schema(spark, path)
+    counts = read_csv(spark, path, schema).agg(*[F.count(c).alias(c) for c in schema.names])
+    described = [
+        F.struct(F.lit(f.name.lower()).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("n")) for f in schema
+    ]
+    return counts.select(F.inline(F.array(*described)))
+
+
 @query
 def ingest_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight files taken in two at a time."""
@@ -679,6 +698,19 @@ def fact_sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_keys(fact, *_FACT_KEYS)
 
 
+@query
+def fact_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from bucketed tables of lines and order heads, joined without an exchange."""
+    lines = stored(_lines(spark, sf_dir), "lines")
+    key = ("order_src_id",)
+    headers = silver.orders(silver.order_headers(lines))
+    heads = gold.order_heads(headers, silver.payment(lines, key), stored(_employees(lines), "employees"))
+    run = uuid.uuid4().hex
+    names = (f"lines_{run}", f"heads_{run}")
+    write_buckets(silver.orders_items(lines, key), heads, names, scratch(spark, "buckets"), buckets=16)
+    return _text_keys(gold.finished(joined_buckets(spark, names)), *_FACT_KEYS)
+
+
 @query
 def sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: sales by year, country and category over the star."""
@@ -740,6 +772,17 @@ def scd2_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark)
 
 
+@query
+def scd2_touched_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History kept up by rewriting touched cells only: the last of three batches is late all over the time range."""
+    rows = _event_changes(_events(spark, sf_dir))
+    table = VersionTable(scratch(spark, "event-cells"), ["user_id"], "ts", schema=rows.schema, track=["event_type"])
+    kind = F.pmod(F.xxhash64("user_id", "ts"), F.lit(10))
+    for number, part in enumerate(("_kind < 6", "_kind between 6 and 8", "_kind = 9")):
+        table.merge(rows.withColumn("_kind", kind).filter(part).drop("_kind"), number)
+    return table.read(spark)
+
+
 @query
 def scd1_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current rows maintained batch by batch from files in an order unrelated to time."""
@@ -810,6 +853,23 @@ def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_stream(users.select("user_id"), "dedup-watermark")
 
 
+@query
+def stream_dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches under a watermark: what became of every row. Tenths of all times arrive in the last batch."""
+    rows = _events(spark, sf_dir).select("event_id", "user_id", "ts")
+    path = scratch(spark, "late-events")
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    low, high = (micros(rows.agg(end("ts")).scalar()) for end in (F.min, F.max))
+    third = F.floor(3 * (micros(F.col("ts")) - low) / (high - low + 1)).cast("int")
+    parts = rows.withColumn("part", F.when(F.col("event_id") % 10 == 0, 2).otherwise(third))
+    for number in range(3):  # one file a batch, in this order
+        parts.filter(F.col("part") == number).drop("part").coalesce(1).write.parquet(f"{path}/{number}")
+    table = BoundedDedup(scratch(spark, "late-table"), ["user_id"], "ts", schema=rows.schema, delay="1 day")
+    merge_into(read_table_stream(spark, path, rows.schema, 1), table.merge, scratch(spark, "late-checkpoint"))
+    seen = table.read(spark).groupBy("cdc_batch", "status")
+    return seen.agg(F.count("*").alias("n_rows"), F.count_distinct("user_id").alias("n_users"))
+
+
 @query
 def stream_static_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
@@ -851,12 +911,8 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_keys(_through_stream(wide, "enriched"), "customer_id")
 
 
-@query
-def refresh_incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline fed in small batches, against the batch plans over the same lines: rows that differ.
-
-    Online lines of one order differ in their date, so a header depends on all of its lines.
-    """
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, DataFrame]:
+    """A warehouse fed in small batches, and all its lines. Online lines of one order differ in their date."""
     day = F.pmod("payment_id", F.lit(3)).cast("int")
     sold = fixture.online(spark, sf_dir).withColumn("Order_Date", F.col("Order_Date") - F.make_dt_interval(day))
     online = _landing(sold, ONLINE_CSV, "landing-online")
@@ -864,15 +920,11 @@ def refresh_incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFra
     house = Warehouse(spark, online, offline, scratch(spark, "warehouse"), online_files=2, offline_files=2)
     house.ingest()
     house.stream_facts()
-    lines = sales_lines(sold, fixture.offline(spark, sf_dir))
-    full = {
-        "orders": silver.orders(silver.order_headers(lines)),
-        "orders_items": silver.orders_items(lines),
-        "payment": silver.payment(lines),
-        "employee_history": silver.employee_history(silver.employee_versions(silver.employee_changes(lines))),
-    }
-    incremental = {name: spark.read.parquet(house.path("silver", name)) for name in ("orders_items", "payment")}
-    incremental |= {"orders": house.orders(), "employee_history": house.employee_history()}
+    return house, sales_lines(sold, fixture.offline(spark, sf_dir))
+
+
+def _difference(full: dict[str, DataFrame], incremental: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table, and how many are on one side only."""
     parts = []
     for name, rows in full.items():
         both = rows.withColumn("_side", F.lit(1)).unionByName(
@@ -889,6 +941,42 @@ def refresh_incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def refresh_incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline fed in small batches, against the batch plans over the same lines: rows that differ.
+
+    Online lines of one order differ in their date, so a header depends on all of its lines.
+    """
+    house, lines = _refreshed(spark, sf_dir)
+    full = {
+        "orders": silver.orders(silver.order_headers(lines)),
+        "orders_items": silver.orders_items(lines),
+        "payment": silver.payment(lines),
+        "employee_history": silver.employee_history(silver.employee_versions(silver.employee_changes(lines))),
+    }
+    incremental = {name: spark.read.parquet(house.path("silver", name)) for name in ("orders_items", "payment")}
+    incremental |= {"orders": house.orders(), "employee_history": house.employee_history()}
+    return _difference(full, incremental)
+
+
+@query
+def refresh_star_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for dictionaries, dimensions and the fact, all of them from what small batches left."""
+    house, lines = _refreshed(spark, sf_dir)
+    audit = ("insert_dt", "update_dt")
+    plain = lambda tables: {n: df.drop(*audit) if n != "employee_history" else df for n, df in tables.items()}
+    whole, kept = plain(silver.silver(stored(lines, "lines"))), house.dictionaries()
+    kept |= {name: spark.read.parquet(house.path("silver", name)).drop(*audit) for name in ("orders_items", "payment")}
+    kept |= {"orders": house.orders(), "employee_history": house.employee_history()}
+    names = [n for n in whole if n not in ("orders", "orders_items", "payment", "employee_history")]
+    full, incremental = {n: whole[n] for n in names}, {n: kept[n] for n in names}
+    for tables, out in ((whole, full), (kept, incremental)):
+        dims = gold.dimensions({n: stored(df, f"refreshed-{n}") for n, df in tables.items() if n not in ("orders_items", "payment")})
+        out |= {f"dim_{n}": stored(df, f"refreshed-dim-{n}") for n, df in dims.items()}
+        out["fact_sales"] = gold.fact(tables, {"employee": out["dim_employee"]})
+    return _difference(full, incremental)
+
+
 # ---------------------------------------------------------------- exploration
 
 
@@ -926,3 +1014,12 @@ def eda_filter_conjunct(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixture.online(spark, sf_dir), customer_name="BUILDING", customer_surname="Customer#000000027"
     )
     return found.select("customer_name", "customer_surname", "City")
+
+
+@query
+def eda_filter_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lookup over files clustered by customer: row groups without the name are skipped."""
+    rows = fixture.online(spark, sf_dir)
+    path = write_clustered(rows, scratch(spark, "clustered"), ["customer_surname", "customer_name", "payment_id"], ["customer_email"])
+    found = eda.where_equal(spark.read.parquet(path), customer_name="BUILDING", customer_surname="Customer#000000027")
+    return found.select("customer_name", "customer_surname", "City")

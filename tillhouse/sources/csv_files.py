@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tillhouse.functions.clean import normalize_headers
+from tillhouse.sources.inference import column_facts, merged_facts, schema_of
 from tillhouse.sources.storage import exists, make_folder
 from tillhouse.streaming.refresh import TRIGGERED, merge_into
 
@@ -23,6 +25,13 @@ DIALECT = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 _RAW_LINE = "_unfitting_line"
 _BLANK = "".join(map(chr, range(33)))
+#: A file is neither packed with others nor split, and a task that needs one line asks for few.
+_ONE_FILE_PER_TASK = {
+    "spark.sql.files.maxPartitionBytes": "1t",
+    "spark.sql.files.openCostInBytes": "1t",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "200",
+}
+_SMALL_FILE = 4 << 20
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -46,35 +55,44 @@ def _rescue(df: DataFrame) -> DataFrame:
     return df.withColumn(RESCUED, F.when(F.col(_RAW_LINE).isNotNull(), verdict)).drop(_RAW_LINE)
 
 
-def header_lines(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by the names in their header, the first line that is not blank; a file without such a line has no names.
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """File and names in the first line that is not blank, of a partition that is one file.
 
-    Reads each file as far as its header. Blank is what Spark's own header reading skips: nothing above a space.
+    A large file is left there; a small one is read to its end, which is cheaper than a new worker for the next.
     """
-    path_type = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-
-    def names(file: str) -> tuple[str, ...]:
-        path = path_type(file)
-        stream = path.getFileSystem(conf).open(path)
-        try:
-            lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = lines.readLine()
-            line = line and line.removeprefix("\ufeff")
-            while line is not None and not line.strip(_BLANK):
-                line = lines.readLine()
-        finally:
-            stream.close()
-        if line is None:
-            return ()
-        cells = next(csv.reader([line], doublequote=True))
-        return tuple(cell.strip() for cell in cells)
-
-    found: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for file, header in zip(files, pool.map(names, files)):
-            found.setdefault(header, []).append(file)
-    return found
+    found = False
+    for batch in batches:
+        if found:
+            continue
+        for line in batch.column(2).to_pylist():
+            line = line.removeprefix("\ufeff")
+            if line.strip(_BLANK):
+                cells = next(csv.reader([line], doublequote=True))
+                names = pa.array([[cell.strip() for cell in cells]], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), names], names=["path", "names"])
+                found = True
+                break
+        if found and batch.column(1)[0].as_py() > _SMALL_FILE:
+            return
+
+
+def header_lines(spark: SparkSession, source: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the names in their header, the first line that is not blank; files without such a line are left out.
+
+    Executors read every file as far as its header, in a session of its own that gives each file a task and small
+    batches; the driver opens no file and gets one row per different header. Blank is what Spark's own header reading
+    skips: nothing above a space.
+    """
+    if not source:
+        return {}
+    own = spark.newSession()
+    for key, value in _ONE_FILE_PER_TASK.items():
+        own.conf.set(key, value)
+    lines = own.read.option("recursiveFileLookup", "true").text(source)
+    lines = lines.select("_metadata.file_path", "_metadata.file_size", "value")
+    found = lines.mapInArrow(_first_lines, "path string, names array<string>")
+    groups = found.groupBy("names").agg(F.sort_array(F.collect_list("path")).alias("files")).collect()
+    return {tuple(g["names"]): g["files"] for g in sorted(groups, key=lambda g: (-len(g["files"]), g["names"]))}
 
 
 def _read_group(
@@ -109,12 +127,6 @@ def _read_group(
     return raw.select(*columns, rescued.alias(RESCUED))
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Files below a folder, or the file itself; names only."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return sorted(row.path for row in found.select("path").collect())
-
-
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType, source: str | None = None, **options: str
 ) -> DataFrame:
@@ -123,9 +135,7 @@ def read_csv(
     A bad field becomes NULL and its line is kept in ``_rescued_data``, as are columns that are not declared; no row is
     dropped. ``source`` adds the file each row came from under that name.
     """
-    files = [path] if isinstance(path, str) and path.endswith(".csv") else path
-    files = list_files(spark, files) if isinstance(files, str) else files
-    groups = {header: own for header, own in header_lines(spark, files).items() if header}
+    groups = header_lines(spark, path)
     if not groups:
         names = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
         names += [f"`{source}` string"] if source else []
@@ -147,8 +157,9 @@ def read_csv_stream(
 
 
 def ingest_csv(
-    spark: SparkSession, folder: str, schema: StructType, out: str, checkpoint: str, max_files: int, mode: str = TRIGGERED
-) -> StreamingQuery:
+    spark: SparkSession, folder: str, schema: StructType, out: str, checkpoint: str, max_files: int, mode: str = TRIGGERED,
+    interval: str = "1 minute",
+) -> StreamingQuery:
     """Bronze rows of new files, matched by name, appended under ``out``; every file exactly once.
 
     The stream carries file names only; each micro-batch reads its files under their own headers and writes a folder of
@@ -165,17 +176,28 @@ def ingest_csv(
     make_folder(spark, out)
     names = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
     names = names.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").load(folder)
-    return merge_into(names.select("path"), take, checkpoint, mode)
+    return merge_into(names.select("path"), take, checkpoint, mode, interval)
 
 
-def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
-    """Column types guessed from the lines of ``path``, all of them by default, to be declared on the stream.
+def infer_schema(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0, known: DataFrame | None = None) -> StructType:
+    """Column types that fit the lines of ``path``, all of them by default, to be declared on the stream.
 
-    A line outside the share that contradicts the guess is not lost: it is rescued when read. Give a few files
-    rather than the whole folder when the folder is large.
+    Columns are matched by name over files with any headers; see :mod:`tillhouse.sources.inference`. ``known`` are facts
+    of earlier files: types then only widen. A line outside the share that contradicts the guess is not lost: it is
+    rescued when read.
     """
-    guess = spark.read.options(**_options()).option("inferSchema", "true").option("samplingRatio", sampling_ratio)
-    return guess.option("recursiveFileLookup", "true").csv(path).schema
+    facts = column_facts(text_columns(spark, path, sampling_ratio))
+    return schema_of(facts if known is None else merged_facts(known, facts))
+
+
+def text_columns(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0) -> list[tuple[list[str], DataFrame]]:
+    """Per header its names, and its files' rows as arrays of texts in the same order (column ``cells``)."""
+    out = []
+    for header, files in header_lines(spark, path).items():
+        fields = StructType([StructField(f"_c{i}", StringType()) for i in range(len(header))])
+        rows = spark.read.options(**_options()).schema(fields).csv(files).select(F.array(*fields.names).alias("cells"))
+        out.append((list(header), rows if sampling_ratio >= 1 else rows.sample(sampling_ratio, seed=1)))
+    return out
 
 
 def zone_free(schema: StructType) -> StructType:

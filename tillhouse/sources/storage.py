@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +29,32 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_root(context.applicationId)
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path for this run."""
-    return f"{shared_dir(spark)}/tillhouse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tillhouse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def finished_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside, also by the batches of streams started inside, are deleted at the end.
+
+    Frames over them must have been used up by then. What other threads make meanwhile stays.
+    """
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            remove(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -53,6 +79,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(found)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    system, found = _file_system(spark, path)
+    system.delete(found, True)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     system, found = _file_system(spark, path)
     system.mkdirs(found)
@@ -102,6 +133,17 @@ def checked(df: DataFrame, ddl: str) -> DataFrame:
     return df
 
 
+#: Versions of a published table that stay on disk, the newest among them.
+KEEP_VERSIONS = 2
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a published table's versions, oldest first."""
+    system, found = _file_system(spark, path)
+    names = [status.getPath().getName() for status in system.listStatus(found)] if system.exists(found) else []
+    return [f"{path}/{name}" for name in sorted(names) if name.startswith("version-")]
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -109,17 +151,53 @@ def publish(
     comment: str | None = None,
     properties: dict[str, str] | None = None,
     balanced: bool = True,
+    check: Callable[[DataFrame], None] | None = None,
+    keep: int = KEEP_VERSIONS,
 ) -> None:
-    """Overwrite a named table with comment and properties.
+    """Replace the rows of a named table, with comment and properties, without touching files that may be read.
+
+    The rows are written to a new folder, given to ``check``, and only then does the name move over. If ``check`` raises,
+    the table stays as it was. A frame opened before still finds its files until ``keep`` versions have followed.
 
     ``balanced`` adds a shuffle that evens out file sizes; leave it off for a large result of a join or aggregation,
     whose partitions are already sized at run time.
     """
     spark = df.sparkSession
-    frame = df.hint("rebalance") if balanced else df
-    frame.write.mode("overwrite").option("path", path).saveAsTable(table)
+    before = _versions(spark, path)
+    number = int(before[-1].rsplit("-", 1)[1]) + 1 if before else 1
+    target = f"{path}/version-{number:09d}"
+    (df.hint("rebalance") if balanced else df).write.parquet(target)
+    if check is not None:
+        try:
+            check(spark.read.schema(df.schema).parquet(target))
+        except Exception:
+            remove(spark, target)
+            raise
+    if spark.catalog.tableExists(table) and spark.read.table(table).schema == spark.read.schema(df.schema).parquet(target).schema:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # an external table: only the name goes
+        spark.catalog.createTable(table, path=target, source="parquet", schema=df.schema)
     if comment is not None:
         quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
     if properties:
         set_properties(spark, table, properties)
+    for old in before[: len(before) + 1 - keep]:
+        remove(spark, old)
+
+
+def write_clustered(df: DataFrame, path: str, by: list[str], bloom: list[str] | None = None, rows_per_group: int = 100_000) -> str:
+    """Files sorted by ``by`` over all of them, with small row groups and bloom filters on ``bloom``.
+
+    A lookup by the leading columns reads the row groups whose range holds the value; one by a bloom column skips the
+    row groups that surely lack it. The range shuffle samples the data, so a value that many rows share fills files of
+    its own, but one task writes it: add columns to ``by`` that divide it.
+    """
+    writer = df.repartitionByRange(*by).sortWithinPartitions(*by).write
+    for name in bloom or []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{name}", str(rows_per_group))
+    writer.option("parquet.block.row.count.limit", str(rows_per_group)).parquet(path)
+    return path
