@@ -50,7 +50,7 @@ def test_perfect_hash_finds_every_key_and_nothing_else():
 
 
 def test_memo_stays_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO", 10)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 10 * bpe._ENTRY)
     encoder = bpe.Encoder([bytes([b]) for b in range(256)], P.PATTERN)
     text = " ".join(f"w{i}" for i in range(500))
     assert encoder.decode(bpe.np.frombuffer(encoder.encode(text), "<u4")) == text.encode()
@@ -59,3 +59,34 @@ def test_memo_stays_bounded(monkeypatch):
 
 def test_empty_table(spark):
     assert bpe.encoded(frame(spark, [], "doc_id long, text string"), RANKS, P.PATTERN).count() == 0
+
+
+def test_perfect_hash_of_small_sets_ends():
+    rng = random.Random(1)
+    for n in (0, 1, 2, 3, 5, 300):
+        for _ in range(40):
+            keys = list({rng.randbytes(4) for _ in range(n)})
+            table = bpe.PerfectHash(keys)
+            assert sorted(x for x in table.slot.tolist() if x >= 0) == list(range(len(keys)))
+
+
+def test_memo_holds_its_byte_bound(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 20_000)
+    encoder = bpe.Encoder(bpe.read_ranks(None, RANKS), P.PATTERN)
+    own, rng = library(), random.Random(2)
+    for _ in range(300):
+        text = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(400)) + " " + "Z" * rng.randrange(500) + f" word{rng.random()}"
+        assert list(bpe.np.frombuffer(encoder.encode(text), "<u4")) == own.encode_ordinary(text)
+        for memo in (encoder.pieces, encoder.chunks):
+            assert memo.held <= 20_000 and all(len(k) <= bpe.MEMO_CHARS for k in memo)
+            assert sum(bpe._ENTRY + 4 * len(k) + len(v) for k, v in memo.items()) == memo.held
+
+
+def test_another_pattern_is_followed():
+    """Under it a space begins no pre-token, so words are not encoded one by one."""
+    pattern = r"\S+\s*|\s+"
+    ranks = {t: i for i, t in enumerate(bpe.read_ranks(None, RANKS))}
+    own = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    encoder = bpe.Encoder(list(ranks), pattern)
+    for text in ("one two three", " a b ", "no"):
+        assert list(bpe.np.frombuffer(encoder.encode(text), "<u4")) == own.encode_ordinary(text)

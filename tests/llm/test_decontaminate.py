@@ -66,3 +66,26 @@ def test_empty_tables(spark):
     bench = frame(spark, ITEMS, "item_id long, text string")
     assert contamination(docs.limit(0), bench).count() == 0
     assert {r["leak"]["n_hit"] for r in contamination(docs, bench.limit(0)).collect()} == {0}
+
+
+def test_blocks_are_bounded_for_a_huge_item_and_many_copies(spark, monkeypatch):
+    """Items are cut into pieces of whole windows, equal ones count once; the hits are the same."""
+    huge = prose(5, 900, 5000)
+    items = [(1, huge)] + [(2, prose(6, 40, 5000))] * 50 + [(3, "short one"), (None, prose(7, 12, 5000))]
+    words_of = huge.split()
+    docs = [(1, " ".join(words_of[395:420])), (2, " ".join(words_of[:9])), (3, prose(6, 40, 5000)), (4, "a short ONE b"), (5, " ".join(words_of)), (6, prose(7, 12, 5000))]
+    df, bench = frame(spark, docs, "doc_id long, text string"), frame(spark, items, "item_id long, text string")
+    whole = {r["doc_id"]: r["leak"] for r in contamination(df, bench).collect()}
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 200)
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 30)
+    sizes = []
+    real = decontaminate.WindowSet.__init__
+
+    def counted(self, listed, n):
+        sizes.append(sum(len(text.split()) for _, text in listed))
+        real(self, listed, n)
+
+    monkeypatch.setattr(decontaminate.WindowSet, "__init__", counted)
+    cut = {r["doc_id"]: r["leak"] for r in contamination(df, bench).collect()}
+    assert cut == whole and whole[5]["n_hit"] == 900 and whole[2]["n_hit"] == 0 and whole[3]["items"] == ["2"] and whole[6]["n_hit"] == 12
+    assert len(sizes) > 5 and max(sizes) < 500

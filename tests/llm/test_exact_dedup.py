@@ -25,8 +25,8 @@ def expected():
 
 def test_groups_equal_brute_force(spark, monkeypatch):
     docs = frame(spark, ROWS, "doc_id long, text string")
-    for bound in (exact_dedup.BROADCAST_ROWS, 0):  # both ways to find texts that need a full hash
-        monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", bound)
+    for bits in (exact_dedup.BITMAP, 6):  # a wide bitmap, and one in which lone texts hit the bits of others
+        monkeypatch.setattr(exact_dedup, "BITMAP", bits)
         got = exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept").collect()
         assert Counter(map(tuple, got)) == expected()
 
@@ -43,3 +43,19 @@ def test_drop_copies_keeps_one_row_per_text(spark):
 def test_empty_table(spark):
     docs = frame(spark, [], "doc_id long, text string")
     assert exact_groups(docs).count() == 0 and drop_copies(docs).count() == 0
+
+
+def test_only_texts_that_share_length_and_prefix_are_hashed(spark, monkeypatch):
+    """The refinement does not change with size: lone texts get no full hash, many shared ones do not switch it off."""
+    rows = [(i, f"{i}{'x' * (i % 700)}") for i in range(3000)] + [(5000 + i, "p" * 200 + str(i % 40)) for i in range(400)]
+    found = exact_dedup._fingerprinted(frame(spark, rows, "doc_id long, text string"))
+    hashed = {r["doc_id"] for r in found.where("_full is not null").collect()}
+    assert {i for i, _ in rows if i >= 5000} <= hashed and len(hashed) < 600
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1 and "SortMergeJoin" not in plan
+
+
+def test_very_long_texts(spark):
+    rows = [(1, "a" * 3_000_000), (2, "a" * 3_000_000), (3, "a" * 2_999_999 + "b")]
+    got = {r["doc_id"]: r["kept"] for r in exact_groups(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert got == {1: False, 2: True, 3: True}

@@ -131,3 +131,56 @@ def test_unclosed_and_unmatched_tags_take_linear_time():
     blocks = H.parse("<p><body>" + "<blockquote>q" * n + "</x></section></i>" * n + "<div><i>" * n + "</b>" * n)
     assert len(blocks) == 2 * n + 3
     assert H.kept_text(blocks, np.ones(len(blocks), dtype=bool)).count("q") == n
+
+
+def given_model(spark, sf_dir):
+    return H.train(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def unseen(seed, style):
+    """Layouts the given pages do not have: asides inside the article, or divs only; and their main text."""
+    rng = random.Random(seed)
+    blocks = [f"Heading {seed}", *(sentences(seed * 7 + k, rng.randrange(3, 7)) for k in range(rng.randrange(3, 7)))]
+    links = "".join(f'<li><a href="/{k}">{prose(k, 2)}</a></li>' for k in range(8))
+    listed = "".join(f"<li><p>{prose(seed + k, 12).capitalize()}.</p></li>" for k in range(rng.randrange(2, 9)))
+    advert = f'<aside class="ad"><p>{prose(seed, 9).capitalize()}.</p></aside>' if style == "marked" else f'<div class="advert"><p>{prose(seed, 9)}.</p></div>'
+    comments = f'<div class="comments"><h3>Comments</h3><ul>{listed}</ul></div>'
+    form = f"<form><p>{prose(seed, 5)}</p><label>Mail</label><input></form>"
+    parts = [f"<p>{b}</p>" for b in blocks[1:]]
+    parts.insert(rng.randrange(1, len(parts)), advert)
+    inner = f"<h1>{blocks[0]}</h1>" + "".join(parts) + form + comments
+    if style == "marked":
+        body = f"<nav><ul>{links}</ul></nav><article>{inner}</article><footer>(c) {seed}</footer>"
+    else:
+        body = f'<div class="menu"><ul>{links}</ul></div><div class="content">{inner}</div><div class="footer"><p>(c) {seed} {prose(seed, 6)}</p></div>'
+    return f"<html><body>{body}</body></html>", blocks
+
+
+def test_unseen_layouts_under_the_model_of_the_given_pages(spark, sf_dir):
+    model = given_model(spark, sf_dir)
+    assert model is not None
+    for style in ("marked", "divs"):
+        pages = [unseen(k, style) for k in range(40)]
+        found = [H.main_text(html, model).split("\n") for html, _ in pages]
+        hits = sum(len(set(a) & set(b)) for a, (_, b) in zip(found, pages))
+        assert hits / sum(len(b) for _, b in pages) >= 0.9, style
+        assert hits / sum(map(len, found)) >= 0.9, style
+
+
+def test_what_reaches_the_driver_is_bounded():
+    page = "<nav><ul>" + "<li>x</li>" * 500 + "</ul></nav><article>" + "<p>text, more text.</p>" * 5000 + "</article>"
+    x, y = H.lessons(page)
+    assert x.shape == (H.PAGE_BLOCKS, H.FEATURES) and len(y) == H.PAGE_BLOCKS and 0 < y.sum() < len(y)
+    assert H.MAX_PAGES * H.PAGE_BLOCKS * (H.FEATURES * 4 + 8) < 60e6
+    assert H.lessons("<p>no landmark</p>") is None
+
+
+def test_grafted_and_hidden_pages():
+    html = "<nav><ul><li>menu</ul></nav><div class='ad'>buy</div><article><h1>t</h1><p>one</p><p>two</p></article>"
+    label = H.landmark_labels(H.parse(html))
+    blocks, y = H.grafted(H.parse(html), label, 3)
+    assert y.sum() == label.sum() and len(blocks) > len(label)
+    inside = [b for b in blocks if b.parent is not None and b.parent.tag == "article" and H.marked_aside(b)]
+    assert inside and H.kept_text(blocks, y > 0) == "t\none\ntwo"
+    bare = H.hidden(H.parse(html))
+    assert not any(H.marked_aside(b) or b.tag == "article" for b in bare) and len(bare) == len(label)

@@ -83,3 +83,41 @@ def test_a_label_behind_the_value_is_context_too():
         assert [text[low:high] for _, low, high in found] == [RANDOM]
     far = f"{RANDOM}{' x' * 80} secret"
     assert secret_scan.novel_spans(far, [], secret_scan.Novelty()) == []
+
+
+def test_long_texts_take_linear_time():
+    """A text of many spans and runs: both are walked together."""
+    import time
+
+    values = " ".join(f"{random.Random(k).getrandbits(128):032x}" for k in range(60_000))
+    start = time.perf_counter()
+    taken = secret_scan.base_spans(values)
+    assert len(taken) == 60_000 and secret_scan.novel_spans(values, taken, secret_scan.Novelty()) == []
+    assert time.perf_counter() - start < 8
+
+
+def test_runs_that_touch_no_span_are_measured_in_any_order():
+    novelty = secret_scan.Novelty()
+    text = f"token=abcdefgh and the secret {RANDOM} or key {'0123456789abcdef' * 2} then bearer {RANDOM[::-1]}"
+    spans = secret_scan.novel_spans(text, secret_scan.base_spans(text), novelty)
+    assert [text[a:b] for _, a, b in spans] == [RANDOM, RANDOM[::-1]]
+    long_words = "the secret is internationalization and characteristically incomprehensibilities"
+    assert secret_scan.novel_spans(long_words, [], novelty) == []
+
+
+def planted(n, seed=9):
+    """Texts with a random key behind a label, and the same with a path, a word or a repetition in its place."""
+    rng = random.Random(seed)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choices(letters, k=rng.randrange(20, 50))) for _ in range(n)]
+    plain = [rng.choice(["usr/lib/python3/dist-packages/module_1", "aaaaaaaaaaaaaaaaaaaaaaaaa1", "configuration_settings_environment_1", "username_password_default_value_2"]) for _ in range(n)]
+    labels = [rng.choice(["bearer ", "my credential is ", "auth key ", "private signature "]) for _ in range(n)]
+    return [f"some text, {a}{b} and more" for a, b in zip(labels, keys)], [f"some text, {a}{b} and more" for a, b in zip(labels, plain)]
+
+
+def test_planted_keys_are_found_and_plain_runs_are_not():
+    novelty = secret_scan.Novelty()
+    keys, plain = planted(300)
+    found = [bool(secret_scan.novel_spans(t, secret_scan.base_spans(t), novelty)) for t in keys]
+    false = [bool(secret_scan.novel_spans(t, secret_scan.base_spans(t), novelty)) for t in plain]
+    assert sum(found) / len(found) > 0.95 and sum(false) / len(false) < 0.02

@@ -88,3 +88,79 @@ def test_query_equals_sql(spark, sf_dir, name):
 
     ok, rows, note = compare(spark, connect(sf_dir), name, queries.QUERIES[name], queries.ORACLE[name], sf_dir)
     assert ok and rows, note
+
+
+def _records(tmp_path, content: bytes, payload=True):
+    path = str(tmp_path / "made.warc.gz")
+    with open(path, "wb") as out:
+        out.write(content)
+    return [(r["record_id"], r.get("payload")) for r in warc.records(path, lambda r: r["record_id"] != "no", payload)]
+
+
+def _record(name, body=b"0123456789"):
+    return warc.record({"record_type": "response", "record_id": name, "payload": body}, "2020-01-01T00:00:00Z")
+
+
+def test_several_records_in_one_member(tmp_path):
+    three = _record("a") + _record("no", b"x" * 5000) + _record("b", b"")
+    for whole in (gzip.compress(three), warc.member(three, 1), three, three + gzip.compress(three), gzip.compress(three) + three):
+        n = whole.count(b"WARC/1.1") // 3 + 1 if whole not in (three,) else 1
+        found = _records(tmp_path, whole)
+        assert found[:2] == [("a", b"0123456789"), ("b", b"")] and len(found) in (2, 4) and n
+        assert [x for x, _ in _records(tmp_path, whole, payload=False)] == [x for x, _ in found]
+    assert len(_records(tmp_path, three + gzip.compress(three))) == len(_records(tmp_path, gzip.compress(three) + three)) == 4
+
+
+def test_truncated_and_foreign_files_are_refused(tmp_path):
+    body = os.urandom(9000)
+    for whole in (_record("a", body), gzip.compress(_record("a", body)), warc.member(_record("a", body), 1)):
+        for cut in (len(whole) // 2, len(whole) - 5 if whole[:2] != b"WA" else len(whole) - 50, 30):
+            for payload in (True, False):
+                with pytest.raises(warc.Damaged, match="made.warc.gz, offset 0"):
+                    _records(tmp_path, whole[:cut], payload)
+    first = warc.member(_record("a"), 1)
+    with pytest.raises(warc.Damaged, match=f"offset {len(first)}: "):
+        _records(tmp_path, first + warc.member(_record("b", body), 1)[:-200])
+    with pytest.raises(warc.Damaged, match="no whole record"):
+        _records(tmp_path, gzip.compress(b"<html>no archive</html>"))
+    with pytest.raises(warc.Damaged, match="Content-Length"):
+        _records(tmp_path, _record("a").replace(b"Content-Length", b"Content-Size"))
+    assert _records(tmp_path, b"") == _records(tmp_path, b"\r\n") == _records(tmp_path, gzip.compress(b"")) == []
+
+
+def test_a_damaged_file_fails_the_read(spark, tmp_path):
+    path = written(spark, tmp_path)
+    name = next(n for n in os.listdir(path) if n.endswith(".warc.gz") and os.path.getsize(f"{path}/{n}") > 300)
+    with open(f"{path}/{name}", "r+b") as file:
+        file.truncate(os.path.getsize(f"{path}/{name}") - 20)
+    with pytest.raises(Exception, match=name):
+        warc.read_archive(spark, path).collect()
+
+
+def test_paths_of_any_kind(tmp_path, monkeypatch):
+    from pyarrow import fs
+
+    asked = []
+    monkeypatch.setattr(warc.fs, "FileSystem", type("F", (), {"from_uri": staticmethod(lambda uri: asked.append(uri) or (None, uri))}))
+    warc._opened("s3a://bucket/a b")
+    warc._opened("hdfs://host/x")
+    assert asked == ["s3://bucket/a b", "hdfs://host/x"]
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        system, found = warc._opened(path)
+        assert isinstance(system, fs.LocalFileSystem) and found == str(tmp_path)
+
+
+def test_large_members_carry_no_skip_length(monkeypatch):
+    head = lambda: warc.member(_record("a"), 1)[3]
+    assert head() == 4
+    real = len
+    monkeypatch.setattr(warc, "len", lambda x: 1 << 32 if isinstance(x, bytes) and x[:5] == b"WARC/" else real(x), raising=False)
+    monkeypatch.setattr(warc.struct, "pack", lambda f, *v: b"" if max(v) >= 1 << 32 else b"\0" * 8)
+    assert head() == 0
+
+
+def test_negative_page_ids(spark, tmp_path, monkeypatch):
+    df = frame(spark, [(-5, "u", BIG), (-7, "u", BIG), (9223372036854775807, "u", "x")], "page_id long, url string, html string")
+    monkeypatch.setattr(queries, "table", lambda spark, sf_dir, name: df)
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in queries.op7_warc(spark, "").collect()}
+    assert got == {-5: ("response", None), -7: ("revisit", -5), 9223372036854775807: ("response", None)}

@@ -1,8 +1,10 @@
 """Byte-level BPE: a minimal perfect hash for pre-tokens that are vocabulary entries, a heap over linked bytes otherwise.
 
 The vocabulary has a fixed size, so its tables are broadcast. Texts are encoded where they are read; nothing is
-shuffled. A bounded memo per Python worker holds what words have been encoded to. Null counts as empty; the empty text
-has no tokens; special tokens are ordinary text. Rows are independent, so repeated rows come out repeated.
+shuffled. A memo per Python worker, bounded in bytes, holds what short words have been encoded to; long ones, such as
+texts without spaces, are encoded where they stand. Null counts as empty; the empty text has no tokens; special tokens
+are ordinary text; very long texts take n log n steps per pre-token. Rows are independent, so repeated rows come out
+repeated; an empty table gives no rows. Extra columns are carried along, new ones get names that none of them has.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import heapq
 import re
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 import xxhash
@@ -20,22 +23,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse.llm.frames import appended, fresh_name
 
-#: Entries of a worker's memos before they are emptied (about 60 MB each).
-MEMO = 250_000
+#: Bytes of each of a worker's two memos before it is emptied, and the longest text that gets an entry.
+MEMO_BYTES, MEMO_CHARS = 64 << 20, 64
+_ENTRY = 200  # bytes of an entry besides its contents
+
+#: Shifts tried for a bucket, per key of the table, before all keys are hashed anew.
+MAX_SHIFTS = 8
 
 
 class PerfectHash:
     """Keys 0..n-1 in n slots without collision: hash to a bucket, shift the bucket's keys until all fall on free slots.
 
-    Buckets with one key name their slot outright. A key outside the set also gets a slot, so the caller compares.
+    Buckets with one key name their slot outright. If a bucket finds no shift, all keys are hashed anew under the next
+    seed. A key outside the set also gets a slot, so the caller compares.
     """
 
     def __init__(self, keys: list[bytes]):
+        if len(set(keys)) < len(keys):
+            raise ValueError("a key occurs twice")
+        self.seed = 0
+        while not self._filled(keys):
+            self.seed += 1
+
+    def _filled(self, keys: list[bytes]) -> bool:
         n = max(1, len(keys))
         self.shift = np.zeros(n, dtype=np.int64)
         self.slot = np.full(n, -1, dtype=np.int64)
         buckets: dict[int, list[int]] = {}
-        hashes = [xxhash.xxh3_64_intdigest(k) for k in keys]
+        hashes = [xxhash.xxh3_64_intdigest(k, self.seed) for k in keys]
         for i, h in enumerate(hashes):
             buckets.setdefault(h % n, []).append(i)
         free = 0
@@ -47,15 +62,16 @@ class PerfectHash:
                 self.slot[free] = own[0]
                 self.shift[bucket] = -1 - free
                 continue
-            shift = 0
-            while True:
+            for shift in range(MAX_SHIFTS * n + 64):
                 at = [_place(hashes[i], shift, n) for i in own]
                 if len(set(at)) == len(at) and all(self.slot[a] < 0 for a in at):
                     break
-                shift += 1
+            else:
+                return False
             for i, a in zip(own, at):
                 self.slot[a] = i
             self.shift[bucket] = shift
+        return True
 
     def frozen(self) -> tuple[list[int], list[int]]:
         return self.shift.tolist(), self.slot.tolist()
@@ -66,15 +82,21 @@ def _place(h: int, shift: int, n: int) -> int:
 
 
 class _Memo(dict):
+    """Results by short text, at most ``MEMO_BYTES`` of them."""
+
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.held = make, 0
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(self) >= MEMO:
-            self.clear()
-        self[key] = value
+        if len(key) <= MEMO_CHARS:
+            size = _ENTRY + 4 * len(key) + len(value)
+            if self.held + size > MEMO_BYTES:
+                self.clear()
+                self.held = 0
+            self[key] = value
+            self.held += size
         return value
 
 
@@ -83,16 +105,17 @@ class Encoder:
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens  # by id
-        self.shift, self.slot = PerfectHash(tokens).frozen()
+        table = PerfectHash(tokens)
+        self.seed, (self.shift, self.slot) = table.seed, table.frozen()
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.find = regex.compile(pattern).findall
-        self.wide = re.compile(r"\s\s").search
+        self.wide = re.compile(r"\s\s").search if pattern == public_tokenizers.PATTERN else None
         self.pieces = _Memo(self.piece)
         self.chunks = _Memo(lambda chunk: self.split(" " + chunk))
 
     def whole(self, piece: bytes) -> int:
         """Id of a pre-token that is a vocabulary entry, or -1."""
-        h = xxhash.xxh3_64_intdigest(piece)
+        h = xxhash.xxh3_64_intdigest(piece, self.seed)
         n = len(self.shift)
         shift = self.shift[h % n]
         at = self.slot[-1 - shift if shift < 0 else _place(h, shift, n)]
@@ -148,8 +171,11 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
     def encode(self, text: str) -> bytes:
-        """Where no two white-space characters meet, every space starts a pre-token, so words are encoded one by one."""
-        if self.wide(text):
+        """Where no two white-space characters meet, every space starts a pre-token, so words are encoded one by one.
+
+        That holds for the public pattern; texts under another are split by it as they are.
+        """
+        if self.wide is None or self.wide(text):
             return self.split(text)
         head, *rest = text.split(" ")
         return self.split(head) + b"".join(map(self.chunks.__getitem__, rest))

@@ -6,10 +6,14 @@ up in a bitmap, then in the sorted set; every candidate is verified word by word
 an occurrence of a window is hit.
 
 Null texts have no words. Items without id can hit but are not listed. Items with equal texts are all listed. Empty
-tables give no hits or no rows. Rows of ``docs`` are judged one by one, so repeated rows come out repeated.
+tables give no hits or no rows. Rows of ``docs`` are judged one by one, so repeated rows come out repeated. Very long
+texts are judged whole, in time linear in their length. Extra columns are carried along; new ones get names that none
+of them has.
 
 The set is broadcast in blocks of at most about ``BLOCK_WORDS`` benchmark words (some 40 MB each); a larger benchmark
-takes one narrow pass over the documents per block. Nothing is shuffled.
+takes one narrow pass over the documents per block. Equal items count once, and long items are cut into pieces of
+``PIECE_WORDS`` windows, so neither many copies of an item nor a huge one makes a block larger. Documents are not
+shuffled.
 """
 
 from __future__ import annotations
@@ -22,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm import text as T
-from tillhouse.llm.frames import appended, fresh_name
+from tillhouse.llm.frames import appended, fresh_name, stored
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS, PIECE_WORDS = 1_000_000, 10_000
 WORD = T.byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BITS = 22
 _SPACED = bytes(b if WORD[b] else 32 for b in range(256))
 _SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -128,14 +133,26 @@ def _runs(hit, starts, ends, low: int, high: int, base: int) -> list[dict]:
     return [{"start": int(starts[low + a] - base), "end": int(ends[low + b - 1] - base)} for a, b in edge.reshape(-1, 2)]
 
 
+def _pieces(items: DataFrame, n: int) -> DataFrame:
+    """``items`` cut so that every window of ``n`` words lies in one piece; items with fewer words stay whole."""
+    lowered = F.translate("body", _UPPER, _UPPER.lower())
+    words = F.regexp_extract_all(lowered, F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), F.lit(0))
+    listed = items.select("item", words.alias("words")).where(F.size("words") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (n - 1), F.lit(1)), F.lit(PIECE_WORDS))
+    cut = listed.select("item", "words", F.explode(starts).alias("start"))
+    return cut.select("item", F.array_join(F.slice("words", F.col("start"), PIECE_WORDS + n - 1), " ").alias("body")).distinct()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``carry`` columns of ``docs`` (all by default) with a struct ``leak``: n_words, n_hit, spans (byte offsets of hit
     runs in the UTF-8 text), items (ids as strings, sorted)."""
     spark = docs.sparkSession
     carry = docs.columns if carry is None else carry
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("body"))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("body")).distinct()
     words = items.agg(F.sum(F.size(F.split("body", "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+")))).first()[0] or 0
     blocks = 1 if words <= BLOCK_WORDS else -(-2 * words // BLOCK_WORDS)
+    if blocks > 1:
+        items = stored(_pieces(items, n), "benchmark-pieces")
     taken = docs.columns
     names = [fresh_name(taken, x) for x in ("leak_words", "leak_hit", "leak_spans", "leak_items")]
     kinds = ["bigint", "bigint", _SPANS, "array<string>"]

@@ -55,7 +55,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lengths and digests of responses are taken from the payloads that were read back, of revisits from their headers."""
     back = warc.read_archive(spark, warc.page_archive(table(spark, sf_dir, "pages")))
-    number = lambda c: F.try_to_number(F.substring_index(c, ":", -1), F.lit("9" * 19)).cast("long")
+    number = lambda c: F.substring_index(c, ":", -1).try_cast("long")
     response = F.col("record_type") == "response"
     return back.select(
         number("record_id").alias("page_id"),

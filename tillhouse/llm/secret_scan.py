@@ -1,10 +1,13 @@
 """Secret scan: fixed patterns, and zstandard novelty of strings in a sensitive context.
 
 Patterns (kinds ``assign``, ``access``, ``hex``) are matched leftmost without overlap over whole texts. Beyond them,
-runs of key-like characters that stand near a sensitive word are measured: how many bytes does the run add to the
-compressed size of its surroundings, when the compressor is primed with a dictionary of code and identifiers and with
-the text around it? What is a word, a path or a repetition costs little; what stays incompressible is a span of kind
-``novel``. Spans are code points, end exclusive; novel spans never overlap those of the patterns.
+runs of at least ``MIN_RUN`` key-like characters that stand near a sensitive word are measured: how many bytes does the
+run add to the compressed size of its surroundings, when the compressor is primed with a dictionary of code and
+identifiers and with the text around it? What is a word, a path or a repetition costs little; what stays incompressible
+is a span of kind ``novel``. Only runs with both a letter and a digit are measured: a rare word or a plain number is as
+new to the compressor as a key. Shorter runs are not measured either, a few bytes of compressed size say nothing. So a
+password of letters alone, or of less than 16 characters, is found by the patterns or not at all. Spans are code points,
+end exclusive; novel spans never overlap those of the patterns. Time is linear in a text's length, also for long ones.
 
 Null and empty texts have no spans. Rows are scanned one by one: repeated rows come out repeated, an empty table gives
 no rows, extra columns are carried along if asked for. Nothing is shuffled.
@@ -31,7 +34,7 @@ HEX = re.compile(r"[0-9a-f]+")
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 #: Novelty: length of a run, characters around it that count as its surroundings, bits that each character must add.
-MIN_RUN, AROUND, MIN_BITS = 16, 160, 3.6
+MIN_RUN, AROUND, MIN_BITS = 16, 160, 7.0
 _NEEDLES = [b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key"]
 _HEX_BYTES = T.byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 102)
 _KEY_BYTES = T.byte_class(lambda b: chr(b).isalnum() and b < 128 or b in b"+/_=-")
@@ -44,6 +47,9 @@ _DICTIONARY = (
     "client_id client_secret authorization bearer basic auth login session cookie csrf private_key public_key BEGIN END RSA "
     "AWS_ACCESS_KEY_ID AWS_SECRET_ACCESS_KEY DATABASE_URL config settings environment export value default name type id uuid "
     "sha256 sha1 md5 hash digest signature base64 encode decode utf-8 ascii license copyright released under the MIT License "
+    "/usr/local/lib/ /usr/lib/python3/ dist-packages/ site-packages/ node_modules/ /usr/bin/ /home/ /var/log/ /etc/ /opt/ /tmp/ "
+    "src/main/java/ src/test/ modules/ module_ packages/ package_ utils/ helpers/ resources/ static/ assets/ images/ index.html "
+    ".min.js .json .yaml .py .txt .tar.gz version_ build_ release_ feature_ service_ request_ response_ handler_ controller_ "
     "the of and to in is that for it with as was on be at by this are or from not "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 "
 ).encode()
@@ -71,10 +77,15 @@ class Novelty:
 
 
 def novel_spans(text: str, taken: list[tuple[str, int, int]], novelty: Novelty) -> list[tuple[str, int, int]]:
-    out = []
+    """Runs that touch no span of ``taken``; both are walked from left to right together."""
+    out, at, reached = [], 0, 0  # ``reached``: the end of the spans that begin before the run's end
+    ordered = sorted((s, e) for _, s, e in taken)
     for m in _RUN.finditer(text):
         run, low, high = m[0], m.start(), m.end()
-        if not re.search("[0-9]", run) or not re.search("[A-Za-z]", run) or any(low < e and s < high for _, s, e in taken):
+        while at < len(ordered) and ordered[at][0] < high:
+            reached = max(reached, ordered[at][1])
+            at += 1
+        if reached > low or not re.search("[0-9]", run) or not re.search("[A-Za-z]", run):
             continue
         before, after = text[max(0, low - AROUND) : low], text[high : high + AROUND]
         if (_SENSITIVE.search(before) or _SENSITIVE.search(after)) and novelty.bits(before, run, after) >= MIN_BITS:

@@ -3,8 +3,9 @@
 Reading: one partition per file of the archive's list (or per ``.warc``/``.warc.gz`` file where there is no list).
 Filters on record type and header columns are pushed down; the header block of a record is parsed first, and where a
 filter rejects it, or ``payload`` is ``false``, the payload is skipped without decoding: by Content-Length in plain
-files, by the skip length that the writer puts in each gzip member's header in compressed ones. Members without it are
-inflated and thrown away.
+files, by the skip length that the writer puts in each gzip member's header in compressed ones. Members without it, or
+with more than one record, are inflated and thrown away as they go. A file that ends inside a record, or holds something
+else where a record must begin, fails the read with its name and the offset: nothing is lost in silence.
 
 Writing: each task writes files of its own, one gzip member per record, and starts a new one at ``max_bytes``. Only
 files of tasks that ended well are listed when the job commits, so repeated or lost tasks leave nothing that is read.
@@ -12,18 +13,22 @@ files of tasks that ended well are listed when the job commits, so repeated or l
 ``page_archive`` writes pages; equal payloads of at least ``MIN_REVISIT`` bytes are stored once, others revisit it.
 Null html is an empty payload. A repeated page_id is written as often as it occurs. Without page_id a page never is the
 record that others revisit, unless nothing else is there; then all of the group are responses. An empty table gives an
-archive without records.
+archive without records. Extra columns are ignored. Very long payloads are held one at a time; members whose lengths
+need more than 32 bits carry no skip length. Paths may have any scheme that Arrow's file systems know, ``s3a`` as well,
+or none (a local path).
 """
 
 from __future__ import annotations
 
 import base64
 import json
+import os
 import struct
 import time
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -61,7 +66,12 @@ _READ = 1 << 20
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), os.path.abspath(path)
+    if scheme == "file":
+        return fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))
+    return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
 
 
 def _clean(value) -> str:
@@ -82,6 +92,8 @@ def record(values: dict, date: str) -> bytes:
         lines.append(f"{header}: <{_clean(value)}>" if angled else f"{header}: {_clean(value)}")
     if values.get("record_type") == "revisit":
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
+    if values.get("record_type") == "response":
+        lines.append("Content-Type: text/html")
     body = values.get("payload") or b""
     lines.append(f"Content-Length: {len(body)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
@@ -91,8 +103,10 @@ def member(content: bytes, level: int) -> bytes:
     """A gzip member whose extra field ``sl`` has the lengths of its compressed and plain content."""
     packer = zlib.compressobj(level, zlib.DEFLATED, -15)
     packed = packer.compress(content) + packer.flush()
-    extra = b"sl" + struct.pack("<HII", 8, len(packed) & 0xFFFFFFFF, len(content) & 0xFFFFFFFF)
-    head = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff" + struct.pack("<H", len(extra)) + extra
+    head = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff"
+    if max(len(packed), len(content)) < 1 << 32:
+        extra = b"sl" + struct.pack("<HII", 8, len(packed), len(content))
+        head = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff" + struct.pack("<H", len(extra)) + extra
     return head + packed + struct.pack("<II", zlib.crc32(content), len(content) & 0xFFFFFFFF)
 
 
@@ -114,7 +128,8 @@ def parsed(head: bytes) -> dict:
         if value is not None and column == "payload_length":
             value = int(value)
         out[column] = value
-    out["content_length"] = int(found.get("content-length", 0))
+    length = found.get("content-length", "")
+    out["content_length"] = int(length) if length.isdigit() else None
     return out
 
 
@@ -131,19 +146,47 @@ class _File:
         return self.held[offset - self.at : offset - self.at + n]
 
 
+class Damaged(ValueError):
+    """A file that cannot be read to its end."""
+
+    def __init__(self, path: str, offset: int, what: str):
+        super().__init__(f"{path}, offset {offset}: {what}")
+
+
+class _Plain:
+    """The content of an uncompressed file, from one record on."""
+
+    def __init__(self, file: _File, at: int):
+        self.file, self.at = file, at
+
+    def peek(self, n: int) -> bytes:
+        return self.file.get(self.at, n)
+
+    def skip(self, n: int) -> bool:
+        self.at += n
+        return self.at <= self.file.size
+
+    def take(self, n: int) -> bytes:
+        data = self.file.get(self.at, n)
+        self.at += n
+        return data
+
+
 class _Member:
-    """Inflates a gzip member step by step, as far as its reader asks."""
+    """The content of a gzip member, inflated step by step as far as its reader asks; what was read is let go."""
 
-    def __init__(self, file: _File, offset: int):
-        self.file, self.packer, self.plain = file, zlib.decompressobj(-15), bytearray()
-        flags, at, self.end = file.get(offset, 10)[3], offset + 10, None
+    def __init__(self, file: _File, offset: int, path: str):
+        self.file, self.path, self.offset = file, path, offset
+        self.packer, self.plain, self.used = zlib.decompressobj(-15), bytearray(), 0
+        flags, at = file.get(offset, 10)[3], offset + 10
+        self.end = self.length = None
         if flags & 4:
             (size,) = struct.unpack("<H", file.get(at, 2))
             extra, at = file.get(at + 2, size), at + 2 + size
             while len(extra) >= 4:
                 kind, (length,) = extra[:2], struct.unpack("<H", extra[2:4])
                 if kind == b"sl" and length == 8:
-                    self.end = struct.unpack("<I", extra[4:8])[0]
+                    self.end, self.length = struct.unpack("<II", extra[4:12])
                 extra = extra[4 + length :]
         for flag in (8, 16):  # file name, comment
             if flags & flag:
@@ -153,49 +196,96 @@ class _Member:
         self.at = at + (2 if flags & 2 else 0)
         self.end = None if self.end is None else self.at + self.end + 8
 
-    def want(self, n: int, until: bytes | None = None) -> None:
-        while len(self.plain) < n and not self.packer.eof and (until is None or until not in self.plain):
-            step = self.file.get(self.at, 4096 if until else _READ)
+    def peek(self, n: int) -> bytes:
+        while len(self.plain) < n and not self.packer.eof:
+            step = self.file.get(self.at, 4096 if n < _READ else _READ)
             if not step:
-                break
+                raise Damaged(self.path, self.offset, "a gzip member ends early")
             self.at += len(step)
             self.plain += self.packer.decompress(step)
+        return bytes(self.plain[:n])
+
+    def skip(self, n: int) -> bool:
+        while n:
+            step = len(self.peek(min(n, _READ)))
+            if not step:
+                return False
+            del self.plain[:step]
+            self.used, n = self.used + step, n - step
+        return True
+
+    def take(self, n: int) -> bytes:
+        data = self.peek(n)
+        del self.plain[:n]
+        self.used += len(data)
+        return data
+
+    def ends_with(self, n: int) -> bool:
+        """Does the member surely end ``n`` bytes from here, so that the rest need not be inflated?"""
+        return self.end is not None and self.length == self.used + n and self.end <= self.file.size
 
     def close(self) -> int:
-        if self.end is None:
-            self.want(1 << 62)
-            self.end = self.at - len(self.packer.unused_data) + 8
-        return self.end
+        if not self.packer.eof and self.end is not None:
+            return self.end
+        self.skip(1 << 62)
+        end = self.at - len(self.packer.unused_data) + 8
+        if end > self.file.size:
+            raise Damaged(self.path, self.offset, "a gzip member ends early")
+        return end
+
+
+def _next_head(source: _Plain | _Member) -> bytes | None:
+    """The header block that follows, without its empty line; None where nothing but line ends is left."""
+    while (head := source.peek(1)) in (b"\r", b"\n"):
+        source.skip(1)
+    size = 4096
+    while (cut := (head := source.peek(size)).find(b"\r\n\r\n")) < 0 and len(head) == size:
+        size *= 4
+    if not head:
+        return None
+    if cut < 0 or not head.startswith(b"WARC/"):
+        raise ValueError
+    source.skip(cut + 4)
+    return head[:cut]
 
 
 def records(path: str, accept, payload: bool) -> Iterator[dict]:
-    """Records of one file whose header columns ``accept`` takes."""
+    """Records of one file whose header columns ``accept`` takes. A gzip member may hold any number of them."""
     file = _File(*_opened(path))
     at = 0
     while at < file.size:
-        if file.get(at, 2) == b"\x1f\x8b":
-            packed = _Member(file, at)
-            packed.want(1 << 62, b"\r\n\r\n")
-            cut = packed.plain.find(b"\r\n\r\n")
-            row = parsed(bytes(packed.plain[:cut]))
-            good = accept(row)
-            if good and payload:
-                packed.want(cut + 4 + row["content_length"])
-                row["payload"] = bytes(packed.plain[cut + 4 : cut + 4 + row["content_length"]])
-            at = packed.close()
-        else:
-            size = 4096
-            while (cut := (head := file.get(at, size)).find(b"\r\n\r\n")) < 0 and len(head) == size:
-                size *= 4
-            if cut < 0:
-                return
-            row = parsed(head[:cut])
+        packed = file.get(at, 2) == b"\x1f\x8b"
+        source = _Member(file, at, path) if packed else _Plain(file, at)
+        while True:
+            start = at if packed else source.at
+            try:
+                head = _next_head(source)
+            except ValueError as error:
+                raise error if isinstance(error, Damaged) else Damaged(path, start, "no whole record begins here") from None
+            if head is None:
+                break
+            row = parsed(head)
+            length = row["content_length"]
+            if length is None:
+                raise Damaged(path, start, "a record without Content-Length")
             good = accept(row)
             if good and payload:
-                row["payload"] = file.get(at + cut + 4, row["content_length"])
-            at += cut + 4 + row["content_length"] + 4
-        if good:
-            yield row
+                row["payload"] = source.take(length)
+                if len(row["payload"]) < length:
+                    raise Damaged(path, start, "a record ends early")
+            elif packed and source.ends_with(length + 4):
+                if good:
+                    yield row
+                break
+            elif not source.skip(length):
+                raise Damaged(path, start, "a record ends early")
+            if good:
+                yield row
+            if not packed and file.get(source.at, 6).lstrip(b"\r\n")[:2] == b"\x1f\x8b":
+                break  # members may follow plain records
+        at = source.close() if packed else max(source.at, at + 1)
+        while not packed and file.get(at, 1) in (b"\r", b"\n"):
+            at += 1
 
 
 class _FilePartition(InputPartition):
