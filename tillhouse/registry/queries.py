@@ -776,7 +776,7 @@ def scd2_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_touched_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History kept up by rewriting touched cells only: the last of three batches is late all over the time range."""
     rows = _event_changes(_events(spark, sf_dir))
-    table = VersionTable(scratch(spark, "event-cells"), ["user_id"], "ts", schema=rows.schema, track=["event_type"])
+    table = VersionTable(scratch(spark, "event-cells"), ["user_id"], "ts", schema=rows.schema, track=["event_type"], buckets=4)
     kind = F.pmod(F.xxhash64("user_id", "ts"), F.lit(10))
     for number, part in enumerate(("_kind < 6", "_kind between 6 and 8", "_kind = 9")):
         table.merge(rows.withColumn("_kind", kind).filter(part).drop("_kind"), number)
