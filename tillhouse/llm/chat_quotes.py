@@ -15,8 +15,8 @@ combine before it is joined, threads are found by doubling over links alone, and
 
 Null or empty texts say nothing; they are messages all the same. Messages without conversation or turn neither quote
 nor are quoted, and are threads of their own. Rows repeated in all columns stay, with one result; of different rows
-with one turn, each has links of its own, and who answers that turn follows the earliest thread among them. Extra
-columns are dropped, an empty table gives no rows.
+with one turn, each has links of its own, and who answers that turn follows the earliest thread among them. Very long
+texts are taken apart line by line within their row. Extra columns are dropped, an empty table gives no rows.
 """
 
 from __future__ import annotations

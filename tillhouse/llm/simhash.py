@@ -10,7 +10,8 @@ blocks that more than ``SPLIT`` fingerprints share is split by the same rule ove
 of at most 65,536 values. Within a group no pairs are listed: the task joins what it links and emits one edge per row.
 
 Rows repeating an id are linked like others. An empty table gives an empty result. Null ids take part; a group's id is
-the smallest id that is not null.
+the smallest id that is not null. Very long texts are hashed whole where they are read. Extra columns are ignored,
+or kept by ``drop_near_copies``.
 """
 
 from __future__ import annotations

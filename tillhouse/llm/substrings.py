@@ -23,7 +23,8 @@ So no group of documents meets in one task, however many share a passage, and no
 hash, word by word; a false match needs two different words of one hash in otherwise equal windows.
 
 Null texts have no words. Rows without doc_id lose and remove nothing. Rows repeating an id are judged alike and do not
-remove each other's words. An empty table gives no rows. Extra columns are ignored.
+remove each other's words. Very long texts are read whole, one at a time; what they may share travels as
+suffixes of bounded length. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations

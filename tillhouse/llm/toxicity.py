@@ -11,7 +11,8 @@ and only their positions reach the driver, which fits a few thousand weights. Sc
 
 A document with contradicting labels counts as toxic. Labels without id, verdict or document are unused. Without labels
 every score is the prior, close to zero. Null and empty texts have the score of a text without features. Rows are scored
-one by one, so repeated rows come out repeated.
+one by one, so repeated rows come out repeated; very long texts are scored whole. An empty table gives no rows. Extra
+columns are carried along if asked for; the new column gets a name that none of them has.
 """
 
 from __future__ import annotations
