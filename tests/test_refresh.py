@@ -8,10 +8,14 @@ import threading
 import time
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from tillhouse.plans import silver
+from tillhouse.functions import keys
+from tillhouse.plans import gold, silver
+from tillhouse.plans.bucketed import joined_buckets, write_buckets
+from tillhouse.plans.clashes import load
+from tillhouse.plans.fact_table import MONTH, FactTable
 from tillhouse.plans.lines import sales_lines
 from tillhouse.plans.warehouse import FOLDS, Warehouse
 from tillhouse.registry.queries import _landing
@@ -85,33 +89,88 @@ def test_folds_of_parts_equal_the_fold_of_all(spark, lines):
         assert rows(folded.select(*whole.columns)) == rows(whole), name
 
 
-def test_dictionaries_come_from_logs_that_read_new_lines_only(spark, sf_dir, tmp_path):
+# ---------------------------------------------------------------- fact
+
+
+def _cells(house) -> dict[str, str]:
+    store = FactTable(house.path("gold", "fact_sales"))._store(house.spark.read.table("gold.fact_sales").drop(MONTH).schema)
+    return {cell[MONTH]: store.folder(cell) for cell in store.newest(house.spark)}
+
+
+def test_a_refresh_reads_new_lines_and_rebuilds_their_months_only(spark, sf_dir, tmp_path, monkeypatch):
+    """New lines of two orders, which move them to an earlier month: other months keep their files."""
     online, offline = fixture.online(spark, sf_dir), fixture.offline(spark, sf_dir)
-    new = F.col("payment_id") % 50 == 0
-    odd = online.withColumn("Product_Name", F.when(new, F.concat(F.lit("new "), "Product_Name")).otherwise(F.col("Product_Name")))
-    for folder, df, schema in (("online", odd.filter(~new), ONLINE_CSV), ("offline", offline, OFFLINE_CSV)):
-        _drop(spark, df, schema, str(tmp_path / folder), f"dict-{folder}")
+    orders = [r[0] for r in online.select("Order_ID").distinct().orderBy("Order_ID").limit(2).collect()]
+    late = online.filter(F.col("Order_ID").isin(orders)).withColumns(
+        {
+            "payment_id": F.col("payment_id") + 10_000_000,
+            "Order_Date": F.col("Order_Date") - F.make_dt_interval(F.lit(70)),
+            "Product_Name": F.lit("a new product"),
+        }
+    )
+    for name, df, schema in (("online", online, ONLINE_CSV), ("offline", offline, OFFLINE_CSV)):
+        _drop(spark, df, schema, str(tmp_path / name), f"months-{name}")
     house = Warehouse(spark, str(tmp_path / "online"), str(tmp_path / "offline"), str(tmp_path / "house"))
-    house.ingest()
-    house.stream_facts()
-    _drop(spark, odd.filter(new), ONLINE_CSV, str(tmp_path / "online"), "dict-more")
+    opened = house.refresh()["fact_sales"]
+    before = _cells(house)
+    _drop(spark, late, ONLINE_CSV, str(tmp_path / "online"), "months-late")
     read = []
     real = FoldTable.merge
-    FoldTable.merge = lambda self, batch, n: read.append(batch.count()) or real(self, batch, n)
-    try:
-        house.ingest()
-        house.stream_facts()
-    finally:
-        FoldTable.merge = real
-    assert set(read) == {odd.filter(new).count()}
-    found = house.dictionaries()
-    want = silver.silver(sales_lines(odd, offline))
-    for name, df in found.items():
-        assert rows(df) == rows(want[name].drop("insert_dt", "update_dt")), name
-    for table in house.folded().values():
-        table.compact(spark)
-        assert not any("bronze" in f for f in table.read(spark).inputFiles())
-    assert rows(house.dictionaries()["products"]) == rows(found["products"])
+    monkeypatch.setattr(FoldTable, "merge", lambda self, batch, n: read.append(batch.count()) or real(self, batch, n))
+    star = house.refresh()
+    assert set(read) == {late.count()}  # dictionaries come from logs that read new lines only
+    house.folded()["product_paths"].compact(spark)
+    assert not any("bronze" in f for table in house.folded().values() for f in table.read(spark).inputFiles())
+    after = _cells(house)
+    moved = {m for m in before.keys() | after.keys() if before.get(m) != after.get(m)}
+    assert 2 <= len(moved) <= 2 * len(orders) and len(before) > 60
+    lines = sales_lines(online.unionByName(late), offline)
+    tables = silver.silver(lines)
+    for name, df in house.dictionaries().items():
+        assert rows(df) == rows(tables[name].drop("insert_dt", "update_dt")), name
+    want = gold.fact(tables, gold.dimensions(tables))
+    assert rows(star["fact_sales"].select(*want.columns)) == rows(want)
+    assert opened.count() == online.count() + offline.count()  # a reader of the first refresh still finds its files
+
+
+def test_clashing_surrogates_get_others_and_nothing_stops(spark, sf_dir, tmp_path, monkeypatch):
+    """Surrogates of 12 bits: many keys clash, in the first files and in later ones; sales still find their names."""
+    online, offline = fixture.online(spark, sf_dir), fixture.offline(spark, sf_dir)
+    monkeypatch.setattr(keys, "SK_DIGITS", 3)
+    new = F.pmod(F.xxhash64("Product_Name"), F.lit(2)) == 0
+    house = Warehouse(spark, str(tmp_path / "online"), str(tmp_path / "offline"), str(tmp_path / "house"))
+    taken: dict = {}
+    for part in (~new, new):
+        for name, df, schema in (("online", online, ONLINE_CSV), ("offline", offline, OFFLINE_CSV)):
+            _drop(spark, df.filter(part), schema, str(tmp_path / name), f"clash-{name}-{len(taken)}")
+        house.refresh()
+        found = {r.product_name + r.sub_category_name + r.category_name: r.product_sk for r in spark.read.table("gold.dim_product").collect()}
+        assert taken.items() <= found.items()  # a key keeps its surrogate
+        taken = found
+    assert len(load(spark, f"{house.root}/keys/exceptions")) > 3
+    assert len(set(taken.values())) == len(taken) == 199
+    lines = sales_lines(online, offline)
+    want = lines.groupBy("product_name", "email", "store_name", "order_src_id", "payment_id_raw").agg(F.sum("sales").alias("sales"))
+    by_product = rows(spark.read.table("gold.fact_sales").join(spark.read.table("gold.dim_product"), "product_sk").groupBy("product_name").agg(F.count("*"), F.sum("sales")))
+    assert by_product == rows(lines.groupBy("product_name").agg(F.count("*"), F.sum("sales")))
+    by_buyer = spark.read.table("gold.fact_sales").join(spark.read.table("gold.dim_customer"), "customer_sk").groupBy("email").agg(F.sum("sales").alias("s"))
+    assert rows(by_buyer) == rows(want.filter("email is not null").groupBy("email").agg(F.sum("sales").alias("s")))
+
+
+def test_bucketed_tables_join_without_an_exchange_and_split_hot_orders(spark, lines, tmp_path):
+    tables = silver.silver(lines.withColumn("order_src_id", F.when(F.pmod(F.xxhash64("payment_id_raw"), F.lit(3)) > 0, F.lit("hot")).otherwise(F.col("order_src_id"))))
+    heads = gold.order_heads(*(silver.silver(lines)[n] for n in ("orders", "payment")), gold.dim_employee(tables["employee_history"]))
+    hot = heads.limit(1).withColumn("order_src_id", F.lit("hot"))
+    heads = stored(heads.unionByName(hot), "heads")
+    names = ("probe_bucket_lines", "probe_bucket_heads")
+    items = tables["orders_items"].drop("insert_dt", "update_dt")
+    write_buckets(items, heads, names, str(tmp_path), buckets=8, hot_lines=1000, parts=16)
+    joined = joined_buckets(spark, names)
+    assert "Exchange" not in plan(joined)
+    want = items.join(heads, "order_src_id", "left")
+    assert rows(joined.select(*want.columns)) == rows(want)
+    sizes = [r["count"] for r in spark.read.table(names[0]).groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 2500 < spark.read.table(names[0]).filter("order_src_id = 'hot'").count()
 
 
 # ---------------------------------------------------------------- late rows

@@ -40,3 +40,22 @@ FACT_COLUMNS = [
     "sale_sk", "order_id", "order_item_id", "customer_sk", "employee_sk", "store_sk", "product_sk",
     "payment_method_sk", "order_date_sk", *MEASURES, "payment_amount", "source_system", "source_entity",
 ]
+STORE_COLUMNS = ["store_id", "city_id", "store_name", "store_src_id", "source_system"]
+CUSTOMER_COLUMNS = [
+    "customer_id", "city_id", "first_name", "last_name", "gender", "age", "email", "phone_number", "postal_code",
+    "customer_src_id", "source_system",
+]
+PLACE_COLUMNS = ["city_name", "state_name", "region_name", "country_name"]
+DIM_CUSTOMER_COLUMNS = [
+    "customer_sk", "customer_id", "customer_src_id", "first_name", "last_name", "gender", "age", "email",
+    "phone_number", "postal_code", *PLACE_COLUMNS, "source_system",
+]
+DIM_STORE_COLUMNS = ["store_sk", "store_id", "store_src_id", "store_name", *PLACE_COLUMNS, "source_system"]
+DIM_PRODUCT_COLUMNS = [
+    "product_sk", "product_id", "product_src_id", "product_name", "sub_category_name", "category_name", "source_system",
+]
+DIM_PAYMENT_METHOD_COLUMNS = ["payment_method_sk", "method_id", "payment_method", "payment_provider", "source_system"]
+DIM_EMPLOYEE_COLUMNS = [
+    "employee_sk", "employee_src_id", "first_name", "last_name", "gender", "monthly_salary", "store_src_id", "start_at",
+    "end_at", "is_current", "source_system",
+]

@@ -6,7 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.clean import with_audit
-from tillhouse.functions.fixed import FACT_COLUMNS, MEASURES, OFFLINE
+from tillhouse.functions.fixed import (
+    DIM_CUSTOMER_COLUMNS,
+    DIM_EMPLOYEE_COLUMNS,
+    DIM_PAYMENT_METHOD_COLUMNS,
+    DIM_PRODUCT_COLUMNS,
+    DIM_STORE_COLUMNS,
+    FACT_COLUMNS,
+    MEASURES,
+    OFFLINE,
+    PLACE_COLUMNS,
+)
 from tillhouse.functions.keys import fk60, md5_key, sk60
 from tillhouse.operators.calendar import date_dim, date_key, safe_date
 from tillhouse.operators.dedup import dedup, top1
@@ -23,58 +33,44 @@ def flat_geography(city: DataFrame, state: DataFrame, region: DataFrame, country
             (region.select("region_id", "country_id", "region_name"), "region_id"),
             (country.select("country_id", "country_name"), "country_id"),
         ],
-    ).select("city_id", *_PLACE)
-
-
-_PLACE = ["city_name", "state_name", "region_name", "country_name"]
+    ).select("city_id", *PLACE_COLUMNS)
 
 
 def dim_customer(customer: DataFrame, geography: DataFrame) -> DataFrame:
     # customers may be many, and a large share may live in one city or in none
-    placed = lookup(customer, geography, "city_id", _PLACE, unique=True, spread_by=["customer_id"])
-    return placed.select(
-        F.col("customer_id").alias("customer_sk"), "customer_id", "customer_src_id", "first_name", "last_name",
-        "gender", "age", "email", "phone_number", "postal_code", "city_name", "state_name", "region_name",
-        "country_name", "source_system",
-    )
+    placed = lookup(customer, geography, "city_id", PLACE_COLUMNS, unique=True, spread_by=["customer_id"])
+    return placed.withColumn("customer_sk", F.col("customer_id")).select(*DIM_CUSTOMER_COLUMNS)
 
 
 def dim_store(store: DataFrame, geography: DataFrame) -> DataFrame:
-    return flatten(store, [(geography, "city_id")]).select(
-        F.col("store_id").alias("store_sk"), "store_id", "store_src_id", "store_name", "city_name", "state_name",
-        "region_name", "country_name", "source_system",
-    )
+    return flatten(store, [(geography, "city_id")]).withColumn("store_sk", F.col("store_id")).select(*DIM_STORE_COLUMNS)
 
 
 def dim_product(product: DataFrame, sub_category: DataFrame, category: DataFrame) -> DataFrame:
     # the product table repeats the sub-category name; the dimension takes it from its own level
-    return flatten(
+    wide = flatten(
         product.drop("sub_category_name"),
         [
             (sub_category.select("sub_category_id", "category_id", "sub_category_name"), "sub_category_id"),
             (category.select("category_id", "category_name"), "category_id"),
         ],
-    ).select(
-        F.col("product_id").alias("product_sk"), "product_id", "product_src_id", "product_name",
-        "sub_category_name", "category_name", "source_system",
-    )
+    )
+    return wide.withColumn("product_sk", F.col("product_id")).select(*DIM_PRODUCT_COLUMNS)
 
 
 def dim_payment_method(methods: DataFrame) -> DataFrame:
-    return methods.select(
-        F.col("method_id").alias("payment_method_sk"), "method_id", "payment_method", "payment_provider",
-        "source_system",
-    )
+    return methods.withColumn("payment_method_sk", F.col("method_id")).select(*DIM_PAYMENT_METHOD_COLUMNS)
 
 
 def dim_employee(history: DataFrame) -> DataFrame:
     """Employee versions; the surrogate belongs to the version, not to the person."""
     renamed = history.withColumnsRenamed({"__START_AT": "start_at", "__END_AT": "end_at"})
-    return renamed.select(
-        sk60("employee_src_id", "start_at").alias("employee_sk"), "employee_src_id", "first_name", "last_name",
-        "gender", "monthly_salary", "store_src_id", "start_at", "end_at",
-        F.col("end_at").isNull().alias("is_current"), F.lit(OFFLINE).alias("source_system"),
-    )
+    added = {
+        "employee_sk": sk60("employee_src_id", "start_at"),
+        "is_current": F.col("end_at").isNull(),
+        "source_system": F.lit(OFFLINE),
+    }
+    return renamed.withColumns(added).select(*DIM_EMPLOYEE_COLUMNS)
 
 
 def dim_date(orders: DataFrame) -> DataFrame:

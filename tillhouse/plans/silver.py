@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillhouse.functions.clean import harmonize, with_audit
 from tillhouse.functions.fixed import (
     COUNTRY_NAMES,
+    CUSTOMER_COLUMNS,
     EMPLOYEE_HISTORY_DDL,
     ITEM_COLUMNS,
     OFFLINE,
@@ -22,6 +23,7 @@ from tillhouse.functions.fixed import (
     ONLINE_TABLE,
     ORDER_COLUMNS,
     PAYMENT_COLUMNS,
+    STORE_COLUMNS,
 )
 from tillhouse.functions.keys import fk60, md5_key, sk60, xx_key
 from tillhouse.operators.cdc import scd2
@@ -144,9 +146,7 @@ def store(lines: DataFrame, rules: Rules = PATH, places: DataFrame | None = None
         key = ["store_src_id", "store_name", "city_name", "state_name"]
         table = rows.select(*key).distinct().join(places, on=["city_name", "state_name"], how="left")
         table = table.withColumn("store_id", sk60(*key, "city_id"))
-    return table.withColumn("source_system", F.lit(OFFLINE)).select(
-        "store_id", "city_id", "store_name", "store_src_id", "source_system"
-    )
+    return table.withColumn("source_system", F.lit(OFFLINE)).select(*STORE_COLUMNS)
 
 
 CUSTOMER_ATTRIBUTES = ["first_name", "last_name", "gender", "age", "phone_number", "postal_code"]
@@ -169,10 +169,7 @@ def customer(lines: DataFrame, rules: Rules = PATH, places: DataFrame | None = N
         table = table.withColumns({"customer_id": sk60("email"), "city_id": city_id()})
     else:
         table = table.join(places, on=place, how="left").withColumn("customer_id", sk60("email", "city_id"))
-    return table.withColumns({"customer_src_id": md5_key("email"), "source_system": F.lit(ONLINE)}).select(
-        "customer_id", "city_id", "first_name", "last_name", "gender", "age", "email", "phone_number",
-        "postal_code", "customer_src_id", "source_system",
-    )
+    return table.withColumns({"customer_src_id": md5_key("email"), "source_system": F.lit(ONLINE)}).select(*CUSTOMER_COLUMNS)
 
 
 METHOD_KEY = ("payment_method", "payment_provider")

@@ -26,7 +26,7 @@ from tillhouse.functions.keys import key_exceptions
 from tillhouse.operators.dictionary import source_dictionary
 from tillhouse.operators.lookup import require_unique
 from tillhouse.plans.clashes import distinct_keys, load, resolve
-from tillhouse.plans.fact_table import FactTable
+from tillhouse.plans.fact_table import MONTH, FactTable
 from tillhouse.plans.gold import audited, dimensions
 from tillhouse.plans.lines import HEADER, channel, sales_lines
 from tillhouse.plans.silver import (
@@ -70,8 +70,14 @@ COMMENTS = {
     "categories": "Product categories of both channels",
     "sub_categories": "Product sub-categories of both channels",
     "products": "Products of both channels",
+    "country": "Countries of both channels",
     "region": "Regions of both channels",
     "state": "States of both channels",
+    "city": "Cities of both channels",
+    "store": "Physical shops",
+    "customer": "Customers of the online shop, latest attributes only",
+    "payment_methods": "Payment methods of both channels",
+    "employee_history": "Employee versions by order date",
     "dim_customer": "Customers with their geography, latest attributes only",
     "dim_employee": "Employee versions",
     "dim_store": "Shops with their geography",
@@ -320,7 +326,10 @@ class Warehouse:
 
     def publish_all(self) -> dict[str, DataFrame]:
         """Every table from what has been taken in so far. A key that names two rows stops the move of its table."""
-        with key_exceptions(load(self.spark, f"{self.root}/keys/exceptions")):
+        path = f"{self.root}/keys/exceptions"
+        with key_exceptions(load(self.spark, path)):
+            versions = distinct_keys("employee", self.employee_history(), ["employee_src_id", "__START_AT"])
+        with key_exceptions(resolve([versions], [], path)):
             return self._publish_all()
 
     def _publish_all(self) -> dict[str, DataFrame]:
@@ -340,4 +349,5 @@ class Warehouse:
         )
         store, months = FactTable(self.path("gold", "fact_sales")).refresh(tables, self.spark.read.table("gold.dim_employee"), headers, upto)
         name_cells(self.spark, "gold.fact_sales", store, months, COMMENTS["fact_sales"], TABLE_PROPERTIES["gold"])
-        return {name: self.spark.read.table(f"gold.{name}") for name in [*(f"dim_{d}" for d in DIMENSIONS), "fact_sales"]}
+        star = {f"dim_{d}": self.spark.read.table(f"gold.dim_{d}") for d in DIMENSIONS}
+        return star | {"fact_sales": store.read(self.spark).drop(MONTH)}
