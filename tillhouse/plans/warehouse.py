@@ -139,6 +139,9 @@ class Warehouse:
     offline_schema: StructType | None = OFFLINE_CSV
     online_files: int = ONLINE_FILES_PER_TRIGGER
     offline_files: int = OFFLINE_FILES_PER_TRIGGER
+    #: Cells of the employee history: few large ones; take shorter slices and more buckets for longer histories.
+    history_slice: str = "year"
+    history_buckets: int = 4
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -198,7 +201,10 @@ class Warehouse:
 
     def history(self) -> VersionTable:
         changes = employee_changes(self.lines()).schema
-        return VersionTable(self.path("silver", "employee_changes"), EMPLOYEE_KEYS, "update_dt", schema=changes, track=EMPLOYEE_TRACK)
+        return VersionTable(
+            self.path("silver", "employee_changes"), EMPLOYEE_KEYS, "update_dt", schema=changes, track=EMPLOYEE_TRACK,
+            time_slice=self.history_slice, buckets=self.history_buckets,
+        )
 
     def folded(self) -> dict[str, FoldTable]:
         """What dictionaries need of the lines, kept up batch by batch."""
