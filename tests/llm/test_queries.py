@@ -15,6 +15,6 @@ def test_query_equals_sql(spark, sf_dir, name):
 def test_every_operator_is_registered_once():
     import __spark_entry__ as driver
 
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in driver.queries() if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in driver.queries()
