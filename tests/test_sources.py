@@ -223,3 +223,24 @@ def test_headers_are_read_by_executors(spark, tmp_path, monkeypatch):
     schema = spark.createDataFrame([], "A INT, B INT").schema
     got = read_csv(spark, str(tmp_path), schema)
     assert got.where("A = B").count() == 300 and got.where(f"{RESCUED} is not null").count() == 100
+
+
+def test_a_header_task_reads_a_block_of_a_large_file(spark, tmp_path):
+    """Six megabytes in blocks of one: several tasks share the file, also where whole blocks are blank."""
+    body = "".join(f"{i},{'x' * 90}\n" for i in range(60_000))
+    (tmp_path / "a.csv").write_text("A,B\n" + body)
+    (tmp_path / "b.csv").write_text("\n" * (3 << 20) + "B,A\n" + body[: 1 << 20])
+    (tmp_path / "c.csv").write_text("\n" * (3 << 20))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = header_lines(spark, str(tmp_path))
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("headers") for s in tracker.getJobInfo(j).stageIds]
+        tasks = max(stage.numTasks for stage in stages if stage is not None)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {header: len(files) for header, files in found.items()} == {("A", "B"): 1, ("B", "A"): 1}
+    assert tasks >= 10
