@@ -40,3 +40,12 @@ def test_dealt_lines_give_the_same_rows(spark, sf_dir, lines, monkeypatch):
     assert rows(QUERIES["stream_orders_fold"](spark, sf_dir)) == folded
     assert rows(QUERIES["silver_orders"](spark, sf_dir)) == headers
     assert QUERIES["stream_union"](spark, sf_dir).count() == lines.count()
+
+
+def test_buckets_follow_the_lines(spark, sf_dir, monkeypatch):
+    want = rows(QUERIES["fact_sales_bucketed"](spark, sf_dir))
+    monkeypatch.setattr(fixture, "LINES_PER_TASK", 200)
+    buckets = fixture.tasks(spark, sf_dir)
+    fact = QUERIES["fact_sales_bucketed"](spark, sf_dir)
+    assert buckets > 16 and f"SelectedBucketsCount: {buckets} out of {buckets}" in plan(fact)
+    assert rows(fact) == want
