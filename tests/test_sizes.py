@@ -49,3 +49,12 @@ def test_buckets_follow_the_lines(spark, sf_dir, monkeypatch):
     fact = QUERIES["fact_sales_bucketed"](spark, sf_dir)
     assert buckets > 16 and f"SelectedBucketsCount: {buckets} out of {buckets}" in plan(fact)
     assert rows(fact) == want
+
+
+def test_rows_are_compared_by_their_digest(spark):
+    make = lambda *r: spark.createDataFrame(r, "a string, b string, c decimal(10,2), d timestamp_ntz")
+    full = make(("ab", "c", None, None), ("x", None, None, None), ("x", None, None, None))
+    part = make(("a", "bc", None, None), ("x", "", None, None), ("x", None, None, None))
+    found = queries._difference({"t": full}, {"t": part})
+    assert rows(found) == [(3, 4, "t")]
+    assert "hashpartitioning(a#" not in plan(found) and "hashpartitioning(_digest#" in plan(found)
