@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from threading import Barrier
+
 import pytest
 from conftest import plan, rows
+from pyspark.sql import functions as F
 
 from tillhouse.plans.silver import orders, order_headers
 from tillhouse.registry import queries
@@ -31,6 +34,19 @@ def test_more_lines_make_more_files_in_as_many_batches(spark, sf_dir, many):
     assert len(spark.read.text(path).inputFiles()) == files
 
 
+def test_stored_bronze_files_follow_the_lines(spark, sf_dir, many, monkeypatch):
+    """What one task writes, and a stream reads as one file, is bounded; there are two batches whatever the size."""
+    made, read = [], queries.read_table_stream
+    monkeypatch.setattr(
+        queries, "read_table_stream", lambda s, path, schema, n: made.append((path, n)) or read(s, path, schema, n)
+    )
+    queries._bronze_streams(spark, sf_dir)
+    assert len(made) == 2
+    for path, per_batch in made:
+        files = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+        assert len(files) == 2 * per_batch >= 5 and max(files) <= 600
+
+
 def test_dealt_lines_give_the_same_rows(spark, sf_dir, lines, monkeypatch):
     want = rows(QUERIES["tag_source"](spark, sf_dir))
     folded = rows(QUERIES["stream_orders_fold"](spark, sf_dir))
