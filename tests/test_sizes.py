@@ -74,3 +74,27 @@ def test_rows_are_compared_by_their_digest(spark):
     found = queries._difference({"t": full}, {"t": part})
     assert rows(found) == [(3, 4, "t")]
     assert "hashpartitioning(a#" not in plan(found) and "hashpartitioning(_digest#" in plan(found)
+
+
+def test_tables_of_the_star_are_stored_side_by_side(spark, lines, monkeypatch):
+    """Jobs that do not need each other meet: one after the other, the first would wait in vain."""
+    meeting, store = Barrier(3), queries.stored
+
+    def wait(df, name):
+        if name in ("orders", "dim-employee", "dim-payment_method"):
+            meeting.wait(timeout=60)
+        return store(df, name)
+
+    monkeypatch.setattr(queries, "stored", wait)
+    facts, dims = queries._stored_star(lines)
+    assert list(facts) == ["orders_items", "orders", "payment"]
+    assert set(dims) == {"customer", "employee", "store", "product", "payment_method", "date"}
+    assert dims["employee"].columns == queries._employees(lines).columns and dims["date"].count() > 0
+
+
+def test_an_error_of_one_stored_table_is_raised(spark):
+    def fail():
+        raise ValueError("no table")
+
+    with pytest.raises(ValueError, match="no table"):
+        queries._together(good=lambda: spark.range(1), bad=fail)
