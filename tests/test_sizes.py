@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from threading import Barrier
 
 import pytest
@@ -13,6 +14,7 @@ from tillhouse.registry import queries
 from tillhouse.registry.queries import QUERIES
 from tillhouse.sources import fixture
 from tillhouse.sources.channels import OFFLINE_CSV
+from tillhouse.sources.storage import LITTLE_DISK, exists, little_disk
 
 
 @pytest.fixture
@@ -98,3 +100,65 @@ def test_an_error_of_one_stored_table_is_raised(spark):
 
     with pytest.raises(ValueError, match="no table"):
         queries._together(good=lambda: spark.range(1), bad=fail)
+
+
+# ---------------------------------------------------------------- disk
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Shuffle files that are still there of those made since the test began; they go in the background."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def listed():
+        names = manager.getAllFiles().mkString("\n").splitlines()
+        return {n for n in names if n.rsplit("/", 1)[-1].startswith("shuffle_")}
+
+    before = listed()
+
+    def left():
+        end = time.monotonic() + 20
+        while listed() - before and time.monotonic() < end:
+            time.sleep(0.2)
+        return listed() - before
+
+    return left
+
+
+@pytest.fixture
+def made(monkeypatch):
+    """Scratch paths that queries ask for."""
+    paths, scratch = [], queries.scratch
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: paths.append(scratch(spark, name)) or paths[-1])
+    return paths
+
+
+def test_jobs_give_their_shuffle_files_back(spark, tmp_path, shuffled):
+    settings = {key: spark.conf.get(key, None) for key in LITTLE_DISK}
+    with pytest.raises(ValueError), little_disk(spark):
+        frame = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count()
+        frame.write.parquet(str(tmp_path / "t"))
+        raise ValueError("the settings come back all the same")
+    assert not shuffled()
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == rows(frame) == rows(frame)
+    assert {key: spark.conf.get(key, None) for key in LITTLE_DISK} == settings
+
+
+def test_rows_for_files_travel_narrow_and_orders_are_divided(spark, sf_dir, many, tmp_path):
+    for make in (fixture.online, fixture.offline):
+        frame = make(spark, sf_dir, 10)
+        assert "RoundRobin" not in plan(frame) and "Exchange hashpartitioning(l_orderkey#" in plan(frame)
+        frame.write.parquet(str(tmp_path / make.__name__))
+        kept = spark.read.parquet(str(tmp_path / make.__name__))
+        assert rows(kept) == rows(make(spark, sf_dir)) and len(kept.inputFiles()) == 10
+        files = kept.withColumn("file", F.input_file_name()).groupBy("Order_ID")
+        files = files.agg(F.count("*").alias("n"), F.count_distinct("file").alias("files"))
+        assert files.where("files > 1").count() > files.where("n > 1").count() / 2
+
+
+def test_stream_union_leaves_its_result_only(spark, sf_dir, lines, many, made, shuffled):
+    union = QUERIES["stream_union"](spark, sf_dir)
+    assert not shuffled()
+    assert rows(union) == rows(lines.select(*union.columns))
+    kept = [path for path in made if exists(spark, path)]
+    assert len(kept) == 1 and len(made) == 4
