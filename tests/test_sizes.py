@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from pathlib import Path
 from threading import Barrier
 
 import pytest
@@ -14,7 +15,7 @@ from tillhouse.registry import queries
 from tillhouse.registry.queries import QUERIES
 from tillhouse.sources import fixture
 from tillhouse.sources.channels import OFFLINE_CSV
-from tillhouse.sources.storage import LITTLE_DISK, exists, little_disk
+from tillhouse.sources.storage import LITTLE_DISK, exists, little_disk, shared_dir
 
 
 @pytest.fixture
@@ -162,3 +163,27 @@ def test_stream_union_leaves_its_result_only(spark, sf_dir, lines, many, made, s
     assert rows(union) == rows(lines.select(*union.columns))
     kept = [path for path in made if exists(spark, path)]
     assert len(kept) == 1 and len(made) == 4
+
+
+@pytest.mark.parametrize("name, tables", [("refresh_star_equals_full", 17)])
+def test_refreshed_sides_leave_their_difference_only(spark, sf_dir, lines, many, shuffled, monkeypatch, name, tables):
+    """The whole warehouse on one side, the batch plans on the other, never both on disk; every row is compared."""
+    folder = Path(shared_dir(spark)) / "tillhouse" / spark.sparkContext.applicationId
+    listed = lambda: {p.name for p in folder.iterdir()} if folder.exists() else set()
+    before, real, seen = listed(), queries.sales_lines, []
+    monkeypatch.setattr(queries, "sales_lines", lambda *rows: seen.append(listed() - before) or real(*rows))
+    found = rows(QUERIES[name](spark, sf_dir))
+    assert len(seen) == 1 and {n.rsplit("-", 1)[0] for n in seen[0]} <= {"digests"}
+    assert not shuffled()
+    assert [n.rsplit("-", 1)[0] for n in listed() - before] == ["difference"]
+    assert len(found) == tables and all(different == 0 for _, different, _ in found)
+    assert {"fact_sales": lines.count(), "orders_items": lines.count()}.items() & {t: n for n, _, t in found}.items()
+
+
+def test_differences_are_found_by_stored_digests(spark):
+    make = lambda *r: spark.createDataFrame(r, "a string, b int")
+    full, part = make(("x", 1), ("x", 1), ("y", None), (None, 2)), make(("x", 1), ("y", None), ("", 2)).select("b", "a")
+    found = queries._equal(spark, lambda: {"t": part, "u": full}, lambda: {"t": full, "u": full})
+    assert rows(found) == [(4, 0, "u"), (4, 3, "t")] == rows(queries._difference({"t": full, "u": full}, {"t": part, "u": full}))
+    with pytest.raises(ValueError, match="columns differ"):
+        queries._equal(spark, lambda: {"t": part.withColumn("b", F.col("b").cast("bigint"))}, lambda: {"t": full})
