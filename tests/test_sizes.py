@@ -165,7 +165,7 @@ def test_stream_union_leaves_its_result_only(spark, sf_dir, lines, many, made, s
     assert len(kept) == 1 and len(made) == 4
 
 
-@pytest.mark.parametrize("name, tables", [("refresh_star_equals_full", 17)])
+@pytest.mark.parametrize("name, tables", [("refresh_incremental_equals_full", 4), ("refresh_star_equals_full", 17)])
 def test_refreshed_sides_leave_their_difference_only(spark, sf_dir, lines, many, shuffled, monkeypatch, name, tables):
     """The whole warehouse on one side, the batch plans on the other, never both on disk; every row is compared."""
     folder = Path(shared_dir(spark)) / "tillhouse" / spark.sparkContext.applicationId
